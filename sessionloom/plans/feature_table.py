@@ -1,0 +1,95 @@
+"""The feature table: one row per session, product and product attributes."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sessionloom.functions import as_flag, is_product_event, is_purchase, is_view
+from sessionloom.operators.clean import clean_sessions, date_range
+from sessionloom.operators.features import (
+    END, PRODUCT_ORDER, START, composed_features, describe_sessions,
+)
+from sessionloom.operators.history import HEAVY_GROUP_ROWS, heavy_keys, with_keys, without_keys
+from sessionloom.schema import (
+    EVENT_TIME, FEATURE_COLUMNS, PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER,
+)
+
+
+def feature_table(
+    events: DataFrame,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
+    heavy_limit: int = HEAVY_GROUP_ROWS,
+) -> DataFrame:
+    """Cleaned, date-limited events as training rows.
+
+    Cleaning looks at all given events, so a session whose second user appears outside the
+    range is removed too.  Spans and history only see the range.
+
+    Events without a session give no row and count nowhere, so they are dropped at the scan.
+    Two small jobs run when this is called: the list of shared sessions and the list of users
+    with more than `heavy_limit` events.
+    """
+    events = events.where(F.col(SESSION).isNotNull())
+    heavy = heavy_keys(date_range(events, start, end), [USER], heavy_limit)
+    kept = date_range(clean_sessions(events), start, end)
+    if heavy is None:
+        return _by_user(kept)
+    rest = _by_user(without_keys(kept, heavy))
+    return rest.unionByName(composed_features(with_keys(kept, heavy)).select(FEATURE_COLUMNS))
+
+
+def _by_user(events: DataFrame) -> DataFrame:
+    """All features from a single partitioning by user.
+
+    After cleaning a session has one user, so session spans, session counts and product
+    history all stay within a user.  Events are aggregated to one row per session and product
+    variant (one more per session for events that are no view or purchase), those rows are
+    partitioned by user once, and every window below works on that partitioning.
+    """
+    touched = F.coalesce(is_product_event(), F.lit(False))
+    variant = [F.when(touched, F.col(name)).alias(name) for name in [PRODUCT, *PRODUCT_ATTRIBUTES]]
+    visits = (
+        events.groupBy(USER, SESSION, touched.alias("_touched"), *variant)
+        .agg(
+            F.max(as_flag(is_purchase())).alias("purchased"),
+            F.sum(as_flag(is_view())).alias("num_views_product"),
+            F.min(EVENT_TIME).alias("_first"),
+            F.max(EVENT_TIME).alias("_last"),
+        )
+        .repartition(USER)
+    )
+
+    session = Window.partitionBy(USER, SESSION)
+    variants = Window.partitionBy(USER, SESSION, PRODUCT).orderBy(F.col("num_views_product").desc())
+    sessions_so_far = Window.partitionBy(USER).orderBy(START, SESSION)
+    earlier = (
+        Window.partitionBy(USER, PRODUCT)
+        .orderBy(*PRODUCT_ORDER)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One variant of each viewed product stands for it in the session's count.
+    stands_for_product = (
+        (F.row_number().over(variants) == 1)
+        & (F.col("num_views_product") > 0)
+        & F.col(PRODUCT).isNotNull()
+    )
+    spans = visits.withColumn("_counts", as_flag(stands_for_product)).withColumns(
+        {
+            "num_views_session": F.coalesce(F.sum("_counts").over(session), F.lit(0)),
+            START: F.min("_first").over(session),
+            END: F.max("_last").over(session),
+        }
+    )
+    history = spans.withColumns(
+        {
+            "num_prev_sessions": (F.dense_rank().over(sessions_so_far) - 1).cast("long"),
+            "num_prev_product_views": F.coalesce(
+                F.sum("num_views_product").over(earlier), F.lit(0)
+            ),
+        }
+    )
+    return describe_sessions(history.where("_touched")).select(FEATURE_COLUMNS)
