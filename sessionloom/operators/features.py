@@ -1,6 +1,6 @@
 """The three feature steps as separate operators.
 
-`plans.feature_table` computes the same rows with fewer shuffles; these are for use on their own
+`plans.table` computes the same rows with fewer shuffles; these are for use on their own
 and for users too large for one task.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.functions import as_flag, hhmm, is_purchase, is_view, seconds_between, weekday
 from sessionloom.schema import EVENT_TIME, PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER
+from sessionloom.session import materialise
 
 from .clean import product_events
 from .history import (
@@ -85,8 +86,9 @@ def features_session_product(
     """Product rows with their session's features and the user's earlier views of the product.
 
     The join stays a plain inner join: adaptive execution splits a session that is too large.
+    Its result is written out once, so that looking for heavy groups does not compute it twice.
     """
-    joined = per_product.join(per_session, SESSION)
+    joined = materialise(per_product.join(per_session, SESSION), "session-products")
     heavy = heavy_keys(joined, [USER, PRODUCT], heavy_limit)
     return with_product_history(joined, running_total, heavy=heavy)
 

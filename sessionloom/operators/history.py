@@ -18,12 +18,15 @@ HEAVY_GROUP_ROWS = 5_000_000
 def heavy_keys(rows: DataFrame, keys: list[str], limit: int = HEAVY_GROUP_ROWS) -> DataFrame | None:
     """Keys with more than `limit` rows, or None if there are none.
 
-    Runs one job: a count combined within tasks that reads only the key columns.  The result
-    has at most rows/limit rows and is written out, so its size is known to later joins.
+    Runs one job: a count combined within tasks that reads only the key columns and brings the
+    largest count to the driver.  If there are heavy keys, at most rows/limit of them, they are
+    written out, so that later joins know their size.
     """
-    counts = rows.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    heavy = materialise(counts, "heavy-keys")
-    return None if heavy.isEmpty() else heavy
+    counts = rows.groupBy(*keys).count()
+    largest = counts.agg(F.max("count")).first()[0]
+    if largest is None or largest <= limit:
+        return None
+    return materialise(counts.where(F.col("count") > limit).select(*keys), "heavy-keys")
 
 
 def with_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from sessionloom.schema import PRODUCT, SESSION, USER
 from sessionloom.session import materialise
 
-from .clean import multi_user_sessions
 from .history import with_keys
 
 
@@ -71,13 +70,19 @@ def top_values_wide(df: DataFrame, field: str, k: int = 5, null_label: str = "nu
 
 
 def dup_impact(events: DataFrame) -> DataFrame:
-    """How many events, and what share, belong to multi-user sessions."""
-    bad = materialise(multi_user_sessions(events.where(F.col(SESSION).isNotNull())), "shared-sessions")
-    flagged = events.select(SESSION).join(bad.withColumn("_bad", F.lit(1)), SESSION, "left")
-    rows = F.count("_bad")
-    return flagged.agg(
-        rows.alias("rows_to_delete"),
-        (rows / F.count(F.lit(1)) * 100).alias("percent_to_delete"),
+    """How many events, and what share, belong to multi-user sessions.
+
+    Adds up counts per session instead of joining the events with a list of sessions.
+    """
+    per_session = (
+        events.groupBy(SESSION, USER).agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(SESSION).agg(F.count(F.lit(1)).alias("users"), F.sum("rows").alias("rows"))
+    )
+    shared = (F.col("users") > 1) & F.col(SESSION).isNotNull()
+    to_delete = F.coalesce(F.sum(F.when(shared, F.col("rows"))), F.lit(0))
+    return per_session.agg(
+        to_delete.alias("rows_to_delete"),
+        (to_delete / F.sum("rows") * 100).alias("percent_to_delete"),
     )
 
 

@@ -1,4 +1,4 @@
 from .etl import MinimalConfig, RunConfig, etl_cloud_min, etl_run
-from .feature_table import feature_table
+from .table import feature_table
 
 __all__ = ["MinimalConfig", "RunConfig", "etl_cloud_min", "etl_run", "feature_table"]

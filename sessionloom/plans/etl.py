@@ -20,7 +20,7 @@ from sessionloom.sources import (
     read_typed, require_months,
 )
 
-from .feature_table import feature_table
+from .table import feature_table
 
 # Fixed value: event counts below this are worth caching.
 MAX_CACHED_ROWS = 200_000_000

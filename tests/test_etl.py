@@ -1,0 +1,81 @@
+"""Whole runs from monthly files."""
+
+import pytest
+from shop import at, expected_features, frame, random_events, rows_of
+
+from sessionloom.plans import MinimalConfig, RunConfig, etl_cloud_min, etl_run
+from sessionloom.plans.etl import cached_when_small, main
+from sessionloom.sinks import read_features, write_csv
+from sessionloom.sources import MissingMonthsError
+from pyspark.sql import functions as F
+
+START, END = "2019-10-01 00:10:00", "2019-10-03 00:50:00"
+
+
+@pytest.fixture(scope="module")
+def events():
+    return random_events(10)
+
+
+@pytest.fixture(scope="module")
+def raw(spark, events, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("raw")
+    text = frame(spark, events).withColumn(
+        "event_time", F.concat(F.col("event_time").cast("string"), F.lit(" UTC"))
+    )
+    write_csv(text, f"{folder}/2019-Oct.csv")
+    return str(folder)
+
+
+@pytest.mark.parametrize("landed", [False, True])
+def test_run(spark, events, raw, tmp_path, landed):
+    config = RunConfig(
+        raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out",
+        zone_dir=f"{tmp_path}/zone" if landed else None, rows_per_file=20,
+    )
+    expected = expected_features(events, at("00:10:00"), at("00:50:00", 3))
+    for _ in range(2):
+        report = etl_run(spark, config)
+        assert report["rows"] == len(expected) and len(report["files"]) >= len(expected) // 20
+        assert rows_of(read_features(spark, config.destination)) == expected
+
+
+def test_missing_month_stops_the_run(spark, raw, tmp_path):
+    config = RunConfig(raw_dir=raw, start=START, end="2019-11-01 00:00:00", destination=f"{tmp_path}/out")
+    with pytest.raises(MissingMonthsError, match="2019-Nov"):
+        etl_run(spark, config)
+
+
+def test_exit_codes(spark, raw, tmp_path):
+    arguments = ["--raw-dir", raw + "/", "--destination", f"{tmp_path}/out", "--date-start", START, "--date-end"]
+    assert main([*arguments, END]) == 0
+    assert main([*arguments, "2019-11-01 00:00:00"]) == 1
+    assert main([*arguments, "2018-01-01 00:00:00"]) == 1
+
+
+def test_sample_rows(spark, raw, tmp_path):
+    config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out", sample_rows=0)
+    assert etl_run(spark, config)["rows"] == 0
+
+
+def test_minimal_run(spark, events, raw, tmp_path):
+    config = MinimalConfig(raw_path=f"{raw}/2019-Oct.csv", destination=f"{tmp_path}/out", rows=30)
+    etl_cloud_min(spark, config)
+    written = spark.read.csv(config.destination, header=True)
+    assert written.columns == ["event_time", "brand", "price", "user_id"] and written.count() == 30
+
+
+@pytest.mark.parametrize("policy, rows, cached", [
+    ("auto", 10**6, True), ("auto", 5, False), ("always", 0, True), ("never", 10**6, False)
+])
+def test_cache_policy(spark, policy, rows, cached):
+    df = spark.range(10)
+    with cached_when_small(df, policy, rows) as kept:
+        assert kept.is_cached == cached and kept.count() == 10
+    assert not df.is_cached
+
+
+def test_unknown_cache_policy(spark):
+    with pytest.raises(ValueError):
+        with cached_when_small(spark.range(1), "sometimes"):
+            pass

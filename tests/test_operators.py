@@ -1,0 +1,119 @@
+"""Cleaning and profiling operators, and the feature steps on their own."""
+
+import pytest
+from shop import at, event, frame, random_events
+
+from sessionloom import operators as op
+from sessionloom.schema import RAW_COLUMNS
+
+SHARED = [
+    event("08:00:00", session="a"),
+    event("08:00:00", session="a"),
+    event("08:00:00", session="b"),
+    event("08:01:00", session="b", user="u2"),
+    event("08:00:00", session="c"),
+    event("08:01:00", session="c", user=None),
+    event("08:00:00", session="d", user=None),
+    event("08:00:00", session=None),
+    event("08:00:00", session=None, user="u2"),
+]
+
+
+def sessions(df):
+    return sorted(str(row["user_session"]) for row in df.collect())
+
+
+def test_multi_user_sessions(spark):
+    assert sessions(op.multi_user_sessions(frame(spark, SHARED))) == ["None", "b", "c"]
+
+
+def test_clean_sessions(spark):
+    cleaned = op.clean_sessions(frame(spark, SHARED))
+    assert sessions(cleaned) == ["None", "None", "a", "a", "d"]
+    assert cleaned.columns == RAW_COLUMNS
+
+
+def test_clean_sessions_by_shuffle_when_the_list_is_large(spark):
+    events = frame(spark, SHARED)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cleaned = op.clean_sessions(events)
+        assert "BroadcastHashJoin" not in cleaned._jdf.queryExecution().toString()
+        assert sessions(cleaned) == ["None", "None", "a", "a", "d"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_events_of_never_matches_null(spark):
+    events = frame(spark, SHARED)
+    assert sessions(op.events_of(events, op.multi_user_sessions(events))) == ["b", "b", "c", "c"]
+
+
+def test_date_range_and_types(spark):
+    events = frame(spark, [event("08:00:00"), event("09:00:00", "cart"), event("10:00:00", "purchase"), event(None)])
+    assert op.date_range(events, at("08:00:00"), at("09:00:00")).count() == 2
+    assert op.date_range(events, start="2019-10-01 09:00:00").count() == 2
+    assert op.date_range(events, end="2019-10-01 09:00:00 UTC").count() == 2
+    assert op.date_range(events).count() == 4
+    assert (op.views(events).count(), op.product_events(events).count()) == (2, 3)
+
+
+@pytest.mark.parametrize("heavy_limit", [op.HEAVY_GROUP_ROWS, 0])
+def test_features_session_keeps_null_sessions_but_does_not_count_them(spark, heavy_limit):
+    events = [event("07:00:00", session=None), event("08:00:00", session="a"), event("09:00:00", session="b")]
+    rows = {
+        row["user_session"]: (row["num_prev_sessions"], row["duration"], row["start_time"])
+        for row in op.features_session(frame(spark, events), heavy_limit).collect()
+    }
+    assert rows == {None: (0, 0, "07:00"), "a": (0, 0, "08:00"), "b": (1, 0, "09:00")}
+
+
+def test_features_session_product_slices_heavy_pairs(spark):
+    events = frame(spark, random_events(8)).where("user_session is not null")
+    product, session = op.features_product(events), op.features_session(op.clean_sessions(events))
+    plain = op.features_session_product(product, session)
+    sliced = op.features_session_product(product, session, heavy_limit=3)
+    assert plain.columns[0] == "user_session"
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, sliced.select(plain.columns).collect()))
+
+
+def test_counts(spark):
+    events = frame(spark, SHARED)
+    assert op.row_counts({"all": events, "views": op.views(events)}).collect() == [("all", 9), ("views", 9)]
+    non_null, null = op.non_null_counts(events).first(), op.null_counts(events).first()
+    assert (non_null["user_id"], null["user_id"], null["user_session"], null["price"]) == (7, 2, 2, 0)
+    assert all(non_null[name] + null[name] == 9 for name in RAW_COLUMNS)
+
+
+def test_approx_distinct_is_near_the_exact_count(spark):
+    ids = spark.range(20_000).selectExpr("id % 7000 as a", "id as b")
+    row = op.approx_distinct(ids, ["a", "b"]).first()
+    assert abs(row["a"] - 7000) < 0.15 * 7000 and abs(row["b"] - 20_000) < 0.15 * 20_000
+
+
+def test_top_values_counts_null_and_breaks_ties(spark):
+    values = [None] * 3 + ["x"] * 2 + ["b", "a", "c", "d"]
+    df = spark.createDataFrame([(v, "k") for v in values], "v string, w string")
+    top = op.top_values(df, ["v", "w"], k=4).collect()
+    assert sorted((r["value"] or "", r["frequency"]) for r in top if r["field"] == "v") == [
+        ("", 3), ("a", 1), ("b", 1), ("x", 2)
+    ]
+    assert [(r["value"], r["frequency"]) for r in top if r["field"] == "w"] == [("k", 9)]
+    wide = op.top_values_wide(df, "v", k=2)
+    assert wide.collect()[0].asDict() == {"v": "frequency", "null": 3, "x": 2}
+
+
+def test_dup_impact(spark):
+    row = op.dup_impact(frame(spark, SHARED)).first()
+    assert row["rows_to_delete"] == 4 and abs(row["percent_to_delete"] - 400 / 9) < 1e-9
+    assert op.dup_impact(frame(spark, [event("07:00:00")])).first()["rows_to_delete"] == 0
+
+
+def test_top_pair(spark):
+    events = frame(spark, random_events(9)).where("user_session is not null")
+    cleaned = op.clean_sessions(events)
+    features = op.features_session_product(op.features_product(cleaned), op.features_session(cleaned))
+    top = op.top_pair(features).first()
+    assert op.top_pair_history(features).count() == top["count"]
+    counts = features.groupBy("user_id", "product_id").count().agg({"count": "max"}).first()[0]
+    assert top["count"] == counts
