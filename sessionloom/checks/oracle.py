@@ -224,11 +224,9 @@ ORACLES = {
     "fn_epoch_diff": f"{EV} SELECT user_session, user_id, duration FROM ({per_session('ev')})",
     "fn_when": f"{EV} SELECT {KEYS}, CASE WHEN event_type = 'view' THEN brand END AS viewed_brand FROM ev",
     "fn_coalesce": f"""{EV}
-        SELECT {KEYS}, price, CAST(coalesce(sum(CAST(event_type = 'view' AS INTEGER)) OVER (
-                 PARTITION BY user_id, product_id
-                 ORDER BY event_time, user_session NULLS FIRST, price
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS views_before
-        FROM ev WHERE event_type IN ('purchase', 'view')""",
+        SELECT user_id, product_id,
+               CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN 1 END), 0) AS BIGINT) AS views
+        FROM ev GROUP BY user_id, product_id""",
     "fn_cast_int": f"""{EV}
         SELECT {KEYS}, CAST(event_type IN ('purchase', 'view') AS INTEGER) AS is_product_event FROM ev""",
     "fn_compare_bool": f"""{EV}

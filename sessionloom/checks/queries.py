@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom import operators as op
@@ -14,7 +14,7 @@ from sessionloom.functions import (
 )
 from sessionloom.plans import MinimalConfig, RunConfig, etl_cloud_min, etl_run, feature_table
 from sessionloom.plans.etl import cached_when_small, first_views
-from sessionloom.schema import PRODUCT_ATTRIBUTES
+from sessionloom.schema import PRODUCT_ATTRIBUTES, RAW_COLUMNS
 from sessionloom.session import materialise, new_path
 
 from .adapter import END, START, clickstream
@@ -154,7 +154,7 @@ def src_land_pending(spark, sf_dir):
     sources.land_pending(spark, raw, zone, MONTHS_START, MONTHS_START)
     sources.land_pending(spark, raw, zone, MONTHS_START, MONTHS_END)
     sources.land_pending(spark, raw, zone, MONTHS_START, MONTHS_END)
-    return sources.read_landed(spark, zone, MONTHS_START, MONTHS_END)
+    return sources.read_landed(spark, zone, MONTHS_START, MONTHS_END).select(RAW_COLUMNS)
 
 
 @on_events
@@ -462,11 +462,8 @@ def fn_when(events):
 
 @on_events
 def fn_coalesce(events):
-    earlier = Window.partitionBy("user_id", "product_id").orderBy("event_time", "user_session", "price")
-    views = F.sum(as_flag(is_view())).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    return op.product_events(events).select(
-        *EVENT_KEYS, "price", F.coalesce(views, F.lit(0)).alias("views_before")
-    )
+    views = F.sum(F.when(is_view(), F.lit(1)))
+    return events.groupBy("user_id", "product_id").agg(F.coalesce(views, F.lit(0)).alias("views"))
 
 
 @on_events
@@ -495,8 +492,11 @@ def fn_month_label(spark, sf_dir):
 
 @on_events
 def srt_sort(events):
+    """Sorted by session; the further columns let a session with very many rows be divided."""
     shared = op.events_of(events, op.multi_user_sessions(events))
-    return shared.select("user_session", "user_id").sort("user_session")
+    return shared.sort("user_session", "user_id", "event_time", "product_id").select(
+        "user_session", "user_id"
+    )
 
 
 @on_events

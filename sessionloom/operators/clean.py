@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.functions import is_product_event, is_view
-from sessionloom.schema import EVENT_TIME, SESSION, USER
+from sessionloom.schema import EVENT_DATE, EVENT_TIME, SESSION, USER
 from sessionloom.session import materialise
 from sessionloom.sources.months import BOUND_FORMAT, parse_bound
 
@@ -55,11 +55,19 @@ def until(end: str | datetime) -> Column:
 def date_range(
     events: DataFrame, start: str | datetime | None = None, end: str | datetime | None = None
 ) -> DataFrame:
-    """Events between the given bounds, both inclusive; a null time never matches a bound."""
+    """Events between the given bounds, both inclusive; a null time never matches a bound.
+
+    Landed events are partitioned by day, and days outside the range are not read.
+    """
+    by_day = EVENT_DATE in events.columns
     if start is not None:
         events = events.where(since(start))
+        if by_day:
+            events = events.where(F.col(EVENT_DATE) >= F.lit(parse_bound(start).date()))
     if end is not None:
         events = events.where(until(end))
+        if by_day:
+            events = events.where(F.col(EVENT_DATE) <= F.lit(parse_bound(end).date()))
     return events
 
 

@@ -8,6 +8,10 @@ PRODUCT = "product_id"
 SESSION = "user_session"
 USER = "user_id"
 
+# Partition columns of landed events: the month of the file and the day of the event.
+MONTH = "month"
+EVENT_DATE = "event_date"
+
 VIEW = "view"
 PURCHASE = "purchase"
 
@@ -36,6 +40,14 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+LANDED_SCHEMA = T.StructType(
+    [
+        *EVENT_SCHEMA.fields,
+        T.StructField(MONTH, T.StringType()),
+        T.StructField(EVENT_DATE, T.DateType()),
+    ]
+)
+
 FEATURE_SCHEMA = T.StructType(
     [
         T.StructField("user_session", T.StringType()),

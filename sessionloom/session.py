@@ -51,3 +51,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def list_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders matching a path whose last part may hold a '*'."""
+    files, path = _file_system(spark, pattern)
+    return sorted(status.getPath().getName() for status in files.globStatus(path) or [])
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    files, path = _file_system(spark, path)
+    files.create(path, True).close()

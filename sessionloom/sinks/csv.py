@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.schema import FEATURE_SCHEMA
-from sessionloom.session import materialise
+from sessionloom.session import list_names, materialise
 
 # Fixed values of the output sizing rule.
 ROWS_PER_FILE = 200_000
@@ -79,7 +79,7 @@ def write_verified(
     write_csv(counted, path, compression, rows_per_file)
 
     spark = df.sparkSession
-    files = _listing(spark, path)
+    files = list_names(spark, f"{path}/*")
     if "_SUCCESS" not in files:
         raise LoadVerificationError(f"no success marker in {path}")
     written = seen.get["rows"]
@@ -93,9 +93,3 @@ def write_verified(
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """A written feature table, typed."""
     return spark.read.schema(FEATURE_SCHEMA).csv(path, header=True)
-
-
-def _listing(spark: SparkSession, path: str) -> list[str]:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    statuses = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    return sorted(status.getPath().getName() for status in statuses)

@@ -7,6 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sessionloom.schema import EVENT_DATE, EVENT_TIME, LANDED_SCHEMA, MONTH
+from sessionloom.session import touch
+
 from .events import read_strings, typed_columns, unparsable
 from .months import (
     listed_months, missing_months, month_names, months_in_range, require_months,
@@ -15,18 +18,29 @@ from .months import (
 _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
 
 
+# Spark's readers skip folders with a leading underscore.
+_MARKERS = "_landed"
+
+
+def landed_months(spark: SparkSession, zone_dir: str) -> DataFrame:
+    return listed_months(spark, f"{zone_dir}/{_MARKERS}/*")
+
+
 def land_pending(
     spark: SparkSession, raw_dir: str, zone_dir: str, start: str | datetime, end: str | datetime
 ) -> dict:
     """Bring the months of the range that are not landed yet into `zone_dir`.
 
-    The zone is Parquet partitioned by month: text is parsed once, and every later job reads
-    only the months and columns it needs.  Each task writes the month of the file split it
-    reads, so nothing is shuffled.  Only whole partitions are replaced, so a repeated run
-    lands nothing twice.
+    The zone is Parquet partitioned by file month and event day: text is parsed once, and later
+    jobs read only the days and columns they need.  The days also stand in for row-group
+    statistics, which Spark does not use on zone-less timestamps.
+
+    Each task writes the few days that its split of a time-ordered file spans, so nothing is
+    shuffled.  A month counts as landed once its marker is there, which is set after the whole
+    write; a run that broke off lands the month again, replacing the partitions it had written.
     """
     required = months_in_range(spark, start, end)
-    pending = missing_months(required, listed_months(spark, f"{zone_dir}/month=*"))
+    pending = missing_months(required, landed_months(spark, zone_dir))
     names = month_names(pending)
     if not names:
         return {"months": [], "rows": 0, "rejected": 0}
@@ -36,24 +50,30 @@ def land_pending(
     month = F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_PATH, 1)
     seen = Observation()
     events = (
-        raw.select("*", month.alias("month"))
+        raw.select("*", month.alias(MONTH))
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(unparsable()).alias("rejected"))
-        .select(*typed_columns(raw), "month")
+        .select(*typed_columns(raw), MONTH)
+        .withColumn(EVENT_DATE, F.col(EVENT_TIME).cast("date"))
     )
     (
         events.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
+        .partitionBy(MONTH, EVENT_DATE)
         .parquet(zone_dir)
     )
+    for name in names:
+        touch(spark, f"{zone_dir}/{_MARKERS}/{name}")
     return {"months": names, **seen.get}
 
 
 def read_landed(
     spark: SparkSession, zone_dir: str, start: str | datetime, end: str | datetime
 ) -> DataFrame:
-    """Events of the months a date range touches; other months are pruned unread."""
+    """Events of the months a date range touches; other months are pruned unread.
+
+    Keeps the event day, by which `operators.date_range` prunes further.
+    """
     required = months_in_range(spark, start, end)
-    require_months(required, listed_months(spark, f"{zone_dir}/month=*"))
-    landed = spark.read.parquet(zone_dir)
-    return landed.where(F.col("month").isin(month_names(required))).drop("month")
+    require_months(required, landed_months(spark, zone_dir))
+    landed = spark.read.schema(LANDED_SCHEMA).parquet(zone_dir)
+    return landed.where(F.col(MONTH).isin(month_names(required))).drop(MONTH)

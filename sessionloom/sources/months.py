@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.functions import month_label
+from sessionloom.session import list_names
 
 BOUND_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -65,11 +66,10 @@ def months_in_range(spark: SparkSession, start: str | datetime, end: str | datet
 
 def listed_months(spark: SparkSession, pattern: str) -> DataFrame:
     """Months found by listing `pattern`, a path whose '*' stands for the month label."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    prefix, suffix = path.getName().split("*")
-    names = [status.getPath().getName() for status in found or []]
-    labels = [(name[len(prefix): len(name) - len(suffix)],) for name in names]
+    prefix, suffix = pattern.rsplit("/", 1)[1].split("*")
+    labels = [
+        (name.removeprefix(prefix).removesuffix(suffix),) for name in list_names(spark, pattern)
+    ]
     return spark.createDataFrame(labels, "month string")
 
 

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")  # whole scans in plan tests
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,8 +5,12 @@ import re
 import pytest
 from shop import at, frame, random_events
 
+from pyspark.sql import functions as F
+
 from sessionloom import operators as op
 from sessionloom.plans import feature_table
+from sessionloom.sinks import write_csv
+from sessionloom.sources import land_pending, read_landed
 
 
 @pytest.fixture(scope="module")
@@ -32,15 +36,32 @@ def test_feature_table_shuffles_twice(spark, landed):
     assert "SortAggregate" not in plan and "Python" not in plan
 
 
+def scan_of(plan):
+    return next(line for line in plan.splitlines() if "FileScan" in line and "event_time" in line)
+
+
 def test_feature_table_scan(spark, landed):
-    plan = plan_of(feature_table(landed, at("00:10:00"), at("00:50:00", 3)))
-    scan = next(line for line in plan.splitlines() if "FileScan" in line and "event_time" in line)
+    scan = scan_of(plan_of(feature_table(landed, at("00:10:00"), at("00:50:00", 3))))
     assert "category_id" not in scan
     pushed = re.search(r"PushedFilters: \[(.*?)\]", scan).group(1)
     assert "GreaterThanOrEqual(event_time" in pushed and "LessThanOrEqual(event_time" in pushed
     assert "IsNotNull(user_session)" in pushed
 
 
+def test_landed_days_outside_the_range_are_not_read(spark, tmp_path):
+    raw, zone = f"{tmp_path}/raw", f"{tmp_path}/zone"
+    text = F.col("event_time").cast("string")
+    write_csv(frame(spark, random_events(12)).withColumn("event_time", text), f"{raw}/2019-Oct.csv")
+    bounds = "2019-10-02 00:00:00", "2019-10-02 12:00:00"
+    land_pending(spark, raw, zone, *bounds)
+    events = read_landed(spark, zone, *bounds)
+    scan = scan_of(plan_of(feature_table(events, *bounds)))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], Pushed", scan).group(1)
+    assert "event_date" in filters and "month" in filters
+    found = op.date_range(events, *bounds)
+    assert found.select("event_date").distinct().count() == 1
+
+
 def test_session_list_reads_two_columns(spark, landed):
     plan = plan_of(op.multi_user_sessions(landed))
     assert re.search(r"ReadSchema: struct<(.*?)>", plan).group(1) == "user_id:string,user_session:string"

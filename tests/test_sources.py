@@ -115,6 +115,18 @@ def test_landing_is_incremental_and_repeatable(spark, tmp_path):
     assert landed.schema["event_time"].dataType.simpleString() == "timestamp_ntz"
 
 
+def test_a_landing_that_broke_off_is_repeated(spark, tmp_path):
+    raw, zone = tmp_path / "raw", tmp_path / "zone"
+    write(raw, "2019-Oct.csv", line("2019-10-30 23:00:00", "s1"), line("2019-10-31 23:00:00", "s2"))
+    span = ("2019-10-20 00:00:00", "2019-10-31 00:00:00")
+    sources.land_pending(spark, str(raw), str(zone), *span)
+    (zone / "_landed" / "2019-Oct").unlink()
+    with pytest.raises(sources.MissingMonthsError):
+        sources.read_landed(spark, str(zone), *span)
+    assert sources.land_pending(spark, str(raw), str(zone), *span)["rows"] == 2
+    assert sources.read_landed(spark, str(zone), *span).count() == 2
+
+
 def test_samples(spark):
     events = spark.range(1000)
     assert sources.cap_rows(events, 10).count() == 10
