@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionloom.operators import HEAVY_GROUP_ROWS, views
-from sessionloom.session import build_session
+from sessionloom.session import build_session, drop_tables
 from sessionloom.sinks import write_csv, write_verified
 from sessionloom.sinks.csv import ROWS_PER_FILE
 from sessionloom.sources import (
@@ -126,13 +126,12 @@ def main(arguments: list[str] | None = None) -> int:
         sample_rows=given.sample_rows,
     )
     logging.basicConfig(level=logging.INFO, format="%(asctime)s: %(message)s")
+    spark = build_session()
     try:
-        etl_run(build_session(), config)
+        etl_run(spark, config)
     except Exception:
         logging.exception("run failed")
         return 1
+    finally:
+        drop_tables(spark)
     return 0
-
-
-if __name__ == "__main__":
-    raise SystemExit(main())

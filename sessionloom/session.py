@@ -38,8 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _tables_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/sessionloom"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_tables_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; DataFrames built on them stop working."""
+    files, path = _file_system(spark, _tables_dir(spark))
+    files.delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

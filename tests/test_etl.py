@@ -1,10 +1,13 @@
 """Whole runs from monthly files."""
 
+import os
+
 import pytest
 from shop import at, expected_features, frame, random_events, rows_of
 
 from sessionloom.plans import MinimalConfig, RunConfig, etl_cloud_min, etl_run
 from sessionloom.plans.etl import cached_when_small, main
+from sessionloom.session import materialise, shared_dir
 from sessionloom.sinks import read_features, write_csv
 from sessionloom.sources import MissingMonthsError
 from pyspark.sql import functions as F
@@ -53,6 +56,17 @@ def test_exit_codes(spark, raw, tmp_path):
     assert main([*arguments, "2018-01-01 00:00:00"]) == 1
 
 
+def test_a_finished_job_leaves_no_intermediate_tables(spark, raw, tmp_path):
+    shared = shared_dir(spark).removeprefix("file:")
+    kept = materialise(spark.range(3), "kept")
+    assert os.listdir(f"{shared}/sessionloom")
+    main(["--raw-dir", raw, "--destination", f"{tmp_path}/out", "--date-start", START, "--date-end", END])
+    assert not os.path.exists(f"{shared}/sessionloom")
+    assert materialise(spark.range(3), "again").count() == 3
+    with pytest.raises(Exception):
+        kept.collect()
+
+
 def test_sample_rows(spark, raw, tmp_path):
     config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out", sample_rows=0)
     assert etl_run(spark, config)["rows"] == 0
