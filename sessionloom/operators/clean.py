@@ -57,7 +57,7 @@ def date_range(
 ) -> DataFrame:
     """Events between the given bounds, both inclusive; a null time never matches a bound.
 
-    Landed events are partitioned by day, and days outside the range are not read.
+    Landed events also carry their day, by which Parquet row groups outside the range are skipped.
     """
     by_day = EVENT_DATE in events.columns
     if start is not None:

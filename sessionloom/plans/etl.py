@@ -57,10 +57,9 @@ def read_events(spark: SparkSession, config: RunConfig) -> DataFrame:
         logging.info("landed %s", landed)
         events = read_landed(spark, config.zone_dir, config.start, config.end)
     else:
-        required = months_in_range(spark, config.start, config.end)
-        require_months(required, listed_months(spark, f"{config.raw_dir}/*.csv"))
-        paths = [f"{config.raw_dir}/{name}.csv" for name in month_names(required)]
-        events = read_typed(spark, paths)
+        names = month_names(months_in_range(spark, config.start, config.end))
+        require_months(names, listed_months(spark, f"{config.raw_dir}/*.csv"))
+        events = read_typed(spark, [f"{config.raw_dir}/{name}.csv" for name in names])
     return events if config.sample_rows is None else cap_rows(events, config.sample_rows)
 
 

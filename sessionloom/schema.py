@@ -8,7 +8,7 @@ PRODUCT = "product_id"
 SESSION = "user_session"
 USER = "user_id"
 
-# Partition columns of landed events: the month of the file and the day of the event.
+# Landed events also have the month of their file, a partition, and the day of the event.
 MONTH = "month"
 EVENT_DATE = "event_date"
 
@@ -43,8 +43,8 @@ EVENT_SCHEMA = T.StructType(
 LANDED_SCHEMA = T.StructType(
     [
         *EVENT_SCHEMA.fields,
-        T.StructField(MONTH, T.StringType()),
         T.StructField(EVENT_DATE, T.DateType()),
+        T.StructField(MONTH, T.StringType()),
     ]
 )
 

@@ -12,7 +12,7 @@ from sessionloom.session import touch
 
 from .events import read_strings, typed_columns, unparsable
 from .months import (
-    listed_months, missing_months, month_names, months_in_range, require_months,
+    listed_months, missing_months, month_frame, month_names, months_in_range, require_months,
 )
 
 _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
@@ -22,7 +22,7 @@ _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
 _MARKERS = "_landed"
 
 
-def landed_months(spark: SparkSession, zone_dir: str) -> DataFrame:
+def landed_months(spark: SparkSession, zone_dir: str) -> list[str]:
     return listed_months(spark, f"{zone_dir}/{_MARKERS}/*")
 
 
@@ -31,20 +31,21 @@ def land_pending(
 ) -> dict:
     """Bring the months of the range that are not landed yet into `zone_dir`.
 
-    The zone is Parquet partitioned by file month and event day: text is parsed once, and later
-    jobs read only the days and columns they need.  The days also stand in for row-group
-    statistics, which Spark does not use on zone-less timestamps.
+    The zone is Parquet partitioned by file month: text is parsed once, and later jobs read only
+    the columns they need.  Events carry their day as a column and are ordered by time within
+    each task's file, so that row groups outside a range are skipped: Spark uses the statistics
+    of dates for that, but not those of zone-less timestamps.
 
-    Each task writes the few days that its split of a time-ordered file spans, so nothing is
+    Each task writes the month of the file split it reads, so nothing is
     shuffled.  A month counts as landed once its marker is there, which is set after the whole
     write; a run that broke off lands the month again, replacing the partitions it had written.
     """
     required = months_in_range(spark, start, end)
-    pending = missing_months(required, landed_months(spark, zone_dir))
-    names = month_names(pending)
+    landed = month_frame(spark, landed_months(spark, zone_dir))
+    names = month_names(missing_months(required, landed))
     if not names:
         return {"months": [], "rows": 0, "rejected": 0}
-    require_months(pending, listed_months(spark, f"{raw_dir}/*.csv"))
+    require_months(names, listed_months(spark, f"{raw_dir}/*.csv"))
 
     raw = read_strings(spark, [f"{raw_dir}/{name}.csv" for name in names])
     month = F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_PATH, 1)
@@ -54,11 +55,12 @@ def land_pending(
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(unparsable()).alias("rejected"))
         .select(*typed_columns(raw), MONTH)
         .withColumn(EVENT_DATE, F.col(EVENT_TIME).cast("date"))
+        .sortWithinPartitions(MONTH, EVENT_TIME)
     )
     (
         events.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH, EVENT_DATE)
+        .partitionBy(MONTH)
         .parquet(zone_dir)
     )
     for name in names:
@@ -73,7 +75,7 @@ def read_landed(
 
     Keeps the event day, by which `operators.date_range` prunes further.
     """
-    required = months_in_range(spark, start, end)
-    require_months(required, landed_months(spark, zone_dir))
+    names = month_names(months_in_range(spark, start, end))
+    require_months(names, landed_months(spark, zone_dir))
     landed = spark.read.schema(LANDED_SCHEMA).parquet(zone_dir)
-    return landed.where(F.col(MONTH).isin(month_names(required))).drop(MONTH)
+    return landed.where(F.col(MONTH).isin(names)).drop(MONTH)

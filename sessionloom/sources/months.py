@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,8 @@ class MissingMonthsError(FileNotFoundError):
 
 def parse_bound(bound: str | datetime | None) -> datetime | None:
     """A date bound in UTC, 'YYYY-MM-DD HH:MM:SS' with an optional ' UTC' suffix."""
+    if isinstance(bound, datetime) and bound.tzinfo is not None:
+        return bound.astimezone(timezone.utc).replace(tzinfo=None)
     if bound is None or isinstance(bound, datetime):
         return bound
     try:
@@ -64,13 +66,14 @@ def months_in_range(spark: SparkSession, start: str | datetime, end: str | datet
     return months_covering(bounds, "start", "end")
 
 
-def listed_months(spark: SparkSession, pattern: str) -> DataFrame:
+def listed_months(spark: SparkSession, pattern: str) -> list[str]:
     """Months found by listing `pattern`, a path whose '*' stands for the month label."""
     prefix, suffix = pattern.rsplit("/", 1)[1].split("*")
-    labels = [
-        (name.removeprefix(prefix).removesuffix(suffix),) for name in list_names(spark, pattern)
-    ]
-    return spark.createDataFrame(labels, "month string")
+    return [name.removeprefix(prefix).removesuffix(suffix) for name in list_names(spark, pattern)]
+
+
+def month_frame(spark: SparkSession, names: list[str]) -> DataFrame:
+    return spark.createDataFrame([(name,) for name in names], "month string")
 
 
 def missing_months(required: DataFrame, present: DataFrame) -> DataFrame:
@@ -79,10 +82,10 @@ def missing_months(required: DataFrame, present: DataFrame) -> DataFrame:
 
 def month_names(months: DataFrame) -> list[str]:
     """Month labels on the driver: one per calendar month of the range, whatever the data."""
-    return sorted(row["month"] for row in months.select("month").distinct().collect())
+    return sorted(row["month"] for row in months.collect())
 
 
-def require_months(required: DataFrame, present: DataFrame) -> None:
-    missing = month_names(missing_months(required, present))
+def require_months(required: list[str], present: list[str]) -> None:
+    missing = [name for name in required if name not in present]
     if missing:
         raise MissingMonthsError(f"no source file for: {', '.join(missing)}")

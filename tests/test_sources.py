@@ -1,6 +1,6 @@
 """Readers, months and landing."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +80,12 @@ def test_months_in_range(spark, start, end, expected):
     assert months(sources.months_in_range(spark, start, end)) == expected
 
 
+def test_zoned_bounds_become_utc():
+    paris = timezone(timedelta(hours=2))
+    first, _ = sources.check_range(datetime(2019, 10, 1, 1, 0, tzinfo=paris), "2019-10-01 00:00:00")
+    assert first == datetime(2019, 9, 30, 23, 0)
+
+
 @pytest.mark.parametrize("start, end", [("2020-01-02 00:00:00", "2020-01-01 00:00:00"), ("soon", "later")])
 def test_bad_ranges(start, end):
     with pytest.raises(ValueError):
@@ -89,10 +95,11 @@ def test_bad_ranges(start, end):
 def test_missing_months(spark, tmp_path):
     write(tmp_path, "2019-Oct.csv", line("2019-10-01 00:00:00"))
     present = sources.listed_months(spark, f"{tmp_path}/*.csv")
+    assert present == ["2019-Oct"]
     required = sources.months_in_range(spark, "2019-10-31 00:00:00", "2019-11-01 00:00:00")
-    assert months(sources.missing_months(required, present)) == ["2019-Nov"]
+    assert months(sources.missing_months(required, sources.month_frame(spark, present))) == ["2019-Nov"]
     with pytest.raises(sources.MissingMonthsError, match="2019-Nov"):
-        sources.require_months(required, present)
+        sources.require_months(sources.month_names(required), present)
 
 
 def test_landing_is_incremental_and_repeatable(spark, tmp_path):
