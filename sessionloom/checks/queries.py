@@ -508,7 +508,7 @@ def srt_top_k(events):
 @on_events
 def opt_conditional_cache(events):
     """The cleaned events feed two branches; what is cached is released before returning."""
-    with cached_when_small(in_range(op.clean_sessions(events))) as kept:
+    with cached_when_small(in_range(op.clean_sessions(events)), raw=events) as kept:
         joined = op.features_product(kept).join(op.features_session(kept), "user_session")
         return materialise(joined, "from-cache")
 

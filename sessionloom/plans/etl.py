@@ -88,14 +88,23 @@ def first_views(events: DataFrame, rows: int = 1000, order: Sequence[str] = ())
 
 
 @contextmanager
-def cached_when_small(df: DataFrame, policy: str = "auto", max_rows: int = MAX_CACHED_ROWS):
+def cached_when_small(
+    df: DataFrame,
+    policy: str = "auto",
+    raw: DataFrame | None = None,
+    max_rows: int = MAX_CACHED_ROWS,
+):
     """`df`, kept in memory and on disk within the block if that pays, and released afterwards.
 
-    "auto" counts the rows first and caches below `max_rows`; "always" and "never" do not count.
+    For work that reads `df` in several branches; `feature_table` reads its events in one and
+    needs no cache.  "auto" caches if `raw`, the events as read, has fewer than `max_rows` rows:
+    counting those takes no more than the file footers, counting `df` would compute it.
+    "always" and "never" do not count.
     """
     if policy not in ("auto", "always", "never"):
         raise ValueError(f"unknown cache policy {policy!r}")
-    keep = policy == "always" or (policy == "auto" and df.count() < max_rows)
+    source = df if raw is None else raw
+    keep = policy == "always" or (policy == "auto" and source.count() < max_rows)
     if not keep:
         yield df
         return

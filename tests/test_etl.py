@@ -84,11 +84,17 @@ def test_minimal_run(spark, events, raw, tmp_path):
 ])
 def test_cache_policy(spark, policy, rows, cached):
     df = spark.range(10)
-    with cached_when_small(df, policy, rows) as kept:
+    with cached_when_small(df, policy, max_rows=rows) as kept:
         assert kept.is_cached == cached and kept.count() == 10
     assert not df.is_cached
 
 
+def test_cache_decides_on_the_raw_rows(spark):
+    few = spark.range(100).where("id < 2")
+    with cached_when_small(few, raw=spark.range(100), max_rows=50) as kept:
+        assert not kept.is_cached
+
+
 def test_unknown_cache_policy(spark):
     with pytest.raises(ValueError):
         with cached_when_small(spark.range(1), "sometimes"):
