@@ -12,13 +12,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionloom.operators import HEAVY_GROUP_ROWS, views
-from sessionloom.session import build_session, drop_tables
+from sessionloom.session import build_session, drop_tables, materialise, new_path
 from sessionloom.sinks import write_csv, write_verified
 from sessionloom.sinks.csv import ROWS_PER_FILE
-from sessionloom.sources import (
-    cap_rows, check_range, land_pending, listed_months, month_names, months_in_range, read_landed,
-    read_typed, require_months,
-)
+from sessionloom.sources import cap_rows, check_range, land_pending, read_landed, read_typed
 
 from .table import feature_table
 
@@ -34,7 +31,7 @@ class RunConfig:
     start: str
     end: str
     destination: str = "data/processed"
-    zone_dir: str | None = None  # land the months here as Parquet first; None reads the CSV
+    zone_dir: str | None = None  # where months stay landed for later runs; None: for this run
     sample_rows: int | None = None  # debug mode
     rows_per_file: int = ROWS_PER_FILE
     compression: str | None = None
@@ -49,30 +46,26 @@ class MinimalConfig:
     order: tuple[str, ...] = ()
 
 
-def read_events(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """Events of all months the range touches; a month without a file is an error."""
-    check_range(config.start, config.end)
-    if config.zone_dir is not None:
-        landed = land_pending(spark, config.raw_dir, config.zone_dir, config.start, config.end)
-        logging.info("landed %s", landed)
-        events = read_landed(spark, config.zone_dir, config.start, config.end)
-    else:
-        names = month_names(months_in_range(spark, config.start, config.end))
-        require_months(names, listed_months(spark, f"{config.raw_dir}/*.csv"))
-        events = read_typed(spark, [f"{config.raw_dir}/{name}.csv" for name in names])
-    return events if config.sample_rows is None else cap_rows(events, config.sample_rows)
-
-
 def etl_run(spark: SparkSession, config: RunConfig) -> dict:
     """Extract, transform, load.  Any failure raises, an incomplete load included.
 
-    The feature table is computed once, by the write; its rows are counted along the way.
+    Text is parsed once, by landing the months of the range.  The feature table is computed
+    once, by the write; its rows are counted along the way.
     """
-    events = read_events(spark, config)
+    check_range(config.start, config.end)
+    zone_dir = config.zone_dir or new_path(spark, "zone")
+    landed = land_pending(spark, config.raw_dir, zone_dir, config.start, config.end)
+    logging.info("landed: %s", landed)
+
+    events = read_landed(spark, zone_dir, config.start, config.end)
+    if config.sample_rows is not None:
+        # Written out, as a limit may pick other rows each time it is computed.
+        events = materialise(cap_rows(events, config.sample_rows), "sample")
     features = feature_table(events, config.start, config.end, config.heavy_limit)
+
     report = write_verified(features, config.destination, config.compression, config.rows_per_file)
     logging.info("%s rows in %s files", report["rows"], len(report["files"]))
-    return report
+    return {"landed": landed, **report}
 
 
 def etl_cloud_min(spark: SparkSession, config: MinimalConfig) -> None:

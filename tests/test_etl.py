@@ -1,6 +1,7 @@
 """Whole runs from monthly files."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from shop import at, expected_features, frame, random_events, rows_of
@@ -37,8 +38,9 @@ def test_run(spark, events, raw, tmp_path, landed):
         zone_dir=f"{tmp_path}/zone" if landed else None, rows_per_file=20,
     )
     expected = expected_features(events, at("00:10:00"), at("00:50:00", 3))
-    for _ in range(2):
+    for run in range(2):
         report = etl_run(spark, config)
+        assert report["landed"]["months"] == ([] if landed and run else ["2019-Oct"])
         assert report["rows"] == len(expected) and len(report["files"]) >= len(expected) // 20
         assert rows_of(read_features(spark, config.destination)) == expected
 
@@ -70,6 +72,7 @@ def test_a_finished_job_leaves_no_intermediate_tables(spark, raw, tmp_path):
 def test_sample_rows(spark, raw, tmp_path):
     config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out", sample_rows=0)
     assert etl_run(spark, config)["rows"] == 0
+    assert 0 < etl_run(spark, replace(config, sample_rows=20))["rows"] <= 20
 
 
 def test_minimal_run(spark, events, raw, tmp_path):
