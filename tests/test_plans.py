@@ -81,3 +81,31 @@ def test_top_pair_does_not_sort_everything(spark, landed):
 def test_plans_of_profiles_are_single_passes(spark, landed):
     for report in (op.null_counts(landed), op.non_null_counts(landed), op.dup_impact(landed)):
         assert plan_of(report).count("FileScan") == 1
+
+
+def test_a_hot_session_is_split_in_the_join(spark):
+    """Adaptive execution divides the product rows of a session that holds most of them."""
+    numbers = spark.range(60_000)
+    hot = F.when(F.col("id") < 40_000, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 500))
+    events = numbers.select(
+        F.lit("2019-10-01 00:00:00").cast("timestamp_ntz").alias("event_time"),
+        F.lit("view").alias("event_type"), F.col("id").cast("string").alias("product_id"),
+        F.lit("c").alias("category_code"), F.lit("b").alias("brand"), F.lit(1.0).alias("price"),
+        F.lit("u").alias("user_id"), hot.alias("user_session"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = op.features_product(events).join(op.features_session(events), "user_session")
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
