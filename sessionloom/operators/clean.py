@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sessionloom.functions import is_product_event, is_view
 from sessionloom.schema import EVENT_DATE, EVENT_TIME, SESSION, USER
 from sessionloom.session import materialise
-from sessionloom.sources.months import BOUND_FORMAT, parse_bound
+from sessionloom.sources.months import parse_bound
 
 
 def multi_user_sessions(events: DataFrame) -> DataFrame:
@@ -81,4 +81,4 @@ def product_events(events: DataFrame) -> DataFrame:
 
 
 def _bound(bound: str | datetime) -> Column:
-    return F.lit(parse_bound(bound).strftime(BOUND_FORMAT)).cast("timestamp_ntz")
+    return F.lit(parse_bound(bound).isoformat(" ")).cast("timestamp_ntz")

@@ -17,7 +17,6 @@ from .months import (
 
 _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
 
-
 # Spark's readers skip folders with a leading underscore.
 _MARKERS = "_landed"
 
@@ -36,9 +35,9 @@ def land_pending(
     each task's file, so that row groups outside a range are skipped: Spark uses the statistics
     of dates for that, but not those of zone-less timestamps.
 
-    Each task writes the month of the file split it reads, so nothing is
-    shuffled.  A month counts as landed once its marker is there, which is set after the whole
-    write; a run that broke off lands the month again, replacing the partitions it had written.
+    Each task writes the month of the file split it reads, so nothing is shuffled.  A month
+    counts as landed once its marker is there, which is set after the whole write; a run that
+    broke off lands the month again, replacing what it had written.
     """
     required = months_in_range(spark, start, end)
     landed = month_frame(spark, landed_months(spark, zone_dir))

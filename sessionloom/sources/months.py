@@ -60,8 +60,8 @@ def months_covering(ranges: DataFrame, start: str, end: str) -> DataFrame:
 def months_in_range(spark: SparkSession, start: str | datetime, end: str | datetime) -> DataFrame:
     first, last = check_range(start, end)
     bounds = spark.range(1).select(
-        F.lit(first.strftime(BOUND_FORMAT)).cast("timestamp_ntz").alias("start"),
-        F.lit(last.strftime(BOUND_FORMAT)).cast("timestamp_ntz").alias("end"),
+        F.lit(first.isoformat(" ")).cast("timestamp_ntz").alias("start"),
+        F.lit(last.isoformat(" ")).cast("timestamp_ntz").alias("end"),
     )
     return months_covering(bounds, "start", "end")
 

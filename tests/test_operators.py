@@ -1,6 +1,9 @@
 """Cleaning and profiling operators, and the feature steps on their own."""
 
+from datetime import timedelta
+
 import pytest
+from pyspark.sql import functions as F
 from shop import at, event, frame, random_events
 
 from sessionloom import operators as op
@@ -50,11 +53,15 @@ def test_events_of_never_matches_null(spark):
 
 
 def test_date_range_and_types(spark):
-    events = frame(spark, [event("08:00:00"), event("09:00:00", "cart"), event("10:00:00", "purchase"), event(None)])
+    kinds = {"08:00:00": "view", "09:00:00": "cart", "10:00:00": "purchase"}
+    events = frame(spark, [*(event(time, kind) for time, kind in kinds.items()), event(None)])
     assert op.date_range(events, at("08:00:00"), at("09:00:00")).count() == 2
     assert op.date_range(events, start="2019-10-01 09:00:00").count() == 2
     assert op.date_range(events, end="2019-10-01 09:00:00 UTC").count() == 2
     assert op.date_range(events).count() == 4
+    half_past = at("09:00:00") + timedelta(microseconds=500_000)
+    assert op.date_range(events.withColumn("event_time", F.lit(half_past.isoformat(" ")).cast("timestamp_ntz")),
+                         half_past, half_past).count() == 4
     assert (op.views(events).count(), op.product_events(events).count()) == (2, 3)
 
 
