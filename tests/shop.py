@@ -100,7 +100,7 @@ def expected_features(events, start=None, end=None):
     return sorted(features, key=lambda row: tuple(repr(row[name]) for name in FEATURE_COLUMNS))
 
 
-def random_events(seed: int, count: int = 300):
+def random_events(seed: int, count: int = 200):
     """Events with every awkward case: ties, nulls, shared sessions, price changes, repeats."""
     pick = random.Random(seed)
     events = []
@@ -111,7 +111,8 @@ def random_events(seed: int, count: int = 300):
             user = "stranger"
         events.append(
             event(
-                DAY + timedelta(minutes=10 * number % 70 + pick.randrange(4), days=number % 3),
+                None if pick.random() < 0.1
+                else DAY + timedelta(minutes=10 * number % 70 + pick.randrange(4), days=number % 3),
                 pick.choice(["view", "view", "view", "cart", "purchase", None]),
                 pick.choice(["p1", "p2", "p3", None]),
                 pick.choice([f"s{number}"] * 9 + [None]),

