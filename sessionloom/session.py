@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,24 +21,20 @@ def build_session(app_name: str = "sessionloom", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, which every executor can reach.
+    """The folder for intermediate tables, which every executor can reach.
 
-    Only a local[...] session without that setting gets a temporary folder; on a cluster
-    a missing setting is an error, as a machine-local folder would not survive there.
+    `spark.checkpoint.dir` if set, else the session's checkpoint folder, else the warehouse.
+    None of these settings is changed.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            folder = tempfile.mkdtemp(prefix="sessionloom-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    ).rstrip("/")
 
 
 def _tables_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/sessionloom"
+    return f"{shared_dir(spark)}/sessionloom/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
