@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe
 from .exact_dedup import exact_dedup
+from .mixing import mix
 from .quality import quality_rules
 from .simhash import simhash
 
@@ -17,6 +21,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -25,11 +38,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_exact_dedup, op4_quality_rules, op9_simhash)
+    for query in (
+        op1_byte_bpe, op2_exact_dedup, op4_quality_rules, op5_source_mix, op9_simhash,
+    )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def numbered(df: DataFrame, row: str, label: str) -> DataFrame:
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into ones of at most `limit` bytes in `column`, or a single row."""
     for batch in batches:
-        sizes = [v.as_buffer().size if v.is_valid else 0 for v in batch.column(column)]
+        sizes = [size or 0 for size in pc.binary_length(batch.column(column)).to_pylist()]
         start = held = 0
         for at, size in enumerate(sizes):
             if at > start and held + size > limit:
