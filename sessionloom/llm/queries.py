@@ -12,7 +12,9 @@ from . import bpe
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .quality import quality_rules
+from .secrets import KINDS, secret_scan
 from .simhash import simhash
+from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +45,29 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(_table(spark, sf_dir, "documents"))
+    order = F.array(*map(F.lit, KINDS))
+    span = lambda x, kind: F.struct(x["start"], F.array_position(order, kind), kind.alias("kind"), x["end"])
+    base = F.transform("base", lambda x: span(x, x["kind"]))
+    learned = F.transform("learned", lambda x: span(x, F.lit("learned")))
+    joined = lambda spans: F.array_join(F.transform(
+        F.array_sort(spans), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
+    ), ",")
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in KINDS[:3]],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.concat(base, learned)).alias("spans"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +75,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        op1_byte_bpe, op2_exact_dedup, op4_quality_rules, op5_source_mix, op9_simhash,
+        op1_byte_bpe, op2_exact_dedup, op4_quality_rules, op5_source_mix, op6_secret_scan,
+        op7_token_counts, op9_simhash,
     )
 }
