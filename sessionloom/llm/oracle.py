@@ -44,5 +44,12 @@ ORACLES = {
         FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g')) AS text_sha256
               FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)""",
+    "op3_warc": """
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+        FROM (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last
+              FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                        sha1(coalesce(html, '')) AS payload_digest FROM pages))""",
     "op4_quality_rules": f"WITH {QUALITY} SELECT * FROM judged",
 }

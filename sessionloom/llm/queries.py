@@ -15,6 +15,7 @@ from .quality import quality_rules
 from .secrets import KINDS, secret_scan
 from .simhash import simhash
 from .token_counts import token_counts
+from .warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        op1_byte_bpe, op2_exact_dedup, op4_quality_rules, op5_source_mix, op6_secret_scan,
-        op7_token_counts, op9_simhash,
+        op1_byte_bpe, op2_exact_dedup, op3_warc, op4_quality_rules, op5_source_mix,
+        op6_secret_scan, op7_token_counts, op9_simhash,
     )
 }
