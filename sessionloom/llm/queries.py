@@ -14,6 +14,7 @@ from .mixing import mix
 from .quality import quality_rules
 from .secrets import KINDS, secret_scan
 from .simhash import simhash
+from .suffix_dedup import suffix_dedup
 from .token_counts import token_counts
 from .warc import archive_pages
 
@@ -73,6 +74,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        F.transform("removed", lambda x: x["end"] - x["start"]), F.lit(0).cast("long"),
+        lambda total, x: total + x,
+    )
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.when(F.col("kept").isNull(), F.col("text_sha256")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_table(spark, sf_dir, "documents"))
 
@@ -81,6 +94,6 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_byte_bpe, op2_exact_dedup, op3_warc, op4_quality_rules, op5_source_mix,
-        op6_secret_scan, op7_token_counts, op9_simhash,
+        op6_secret_scan, op7_token_counts, op8_suffix_dedup, op9_simhash,
     )
 }
