@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .exact_dedup import exact_dedup
+from .license_scan import license_scan
 from .mixing import mix
 from .quality import quality_rules
 from .secrets import KINDS, secret_scan
@@ -90,10 +91,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct("licences.family")), ",").alias("families"),
+        F.array_join(
+            F.transform("licences", lambda x: F.concat_ws(":", x["paragraph"], x["family"])), ","
+        ).alias("paragraphs"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_byte_bpe, op2_exact_dedup, op3_warc, op4_quality_rules, op5_source_mix,
         op6_secret_scan, op7_token_counts, op8_suffix_dedup, op9_simhash,
+        op10_license_scan,
     )
 }
