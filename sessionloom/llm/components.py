@@ -23,11 +23,13 @@ def components(edges: DataFrame) -> DataFrame:
     turn = 0
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        order = lambda name: F.struct(F.xxhash64(name, F.lit(turn)), name)  # noqa: E731, B023
+        order = lambda name: F.struct(
+            F.xxhash64(name, F.lit(turn)).alias("place"), F.col(name).alias("node")  # noqa: B023
+        )
         first = both.groupBy("a").agg(F.min(order("b")).alias("first"))
         joined = materialise(
             first.select(
-                F.col("a").alias("old"), F.least(F.col("first"), order("a"))["b"].alias("new")
+                F.col("a").alias("old"), F.least(F.col("first"), order("a"))["node"].alias("new")
             ),
             "joined-nodes",
         )
