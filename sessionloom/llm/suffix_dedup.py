@@ -45,8 +45,10 @@ class Anchors:
     def __init__(self, match: int = MATCH, gram: int = GRAM):
         self.match, self.gram = match, gram
         size = SEGMENT + match
-        power = lambda base: np.cumprod(np.concatenate([[1], np.full(size, base, np.uint64)]), dtype=np.uint64)
-        self.up, self.down = power(_BASE), power(pow(_BASE, -1, 1 << 64))
+        self.up, self.down = np.ones((2, size), np.uint64)
+        self.up[1:], self.down[1:] = _BASE, pow(_BASE, -1, 1 << 64)
+        np.cumprod(self.up, out=self.up)
+        np.cumprod(self.down, out=self.down)
 
     def _hashes(self, text: np.ndarray) -> np.ndarray:
         n = len(text)
