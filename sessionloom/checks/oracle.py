@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .adapter import END, START
-from .queries import MONTHS_END, MONTHS_START
+from .queries import MONTHS_END, MONTHS_START, SAMPLE
 
 EVENTS = """
 SELECT date_trunc('second', ts) AS event_time,
@@ -141,9 +141,9 @@ ORACLES = {
         WHERE NOT EXISTS (
           SELECT 1 FROM orders WHERE strftime(o_orderdate, '%Y-%b') = required.month)""",
     "src_land_pending": f"SELECT {COLUMNS} FROM ({THREE_MONTHS})",
-    "src_sample": f"{EVENT_ROWS} LIMIT 1000000",
+    "src_sample": f"""{EVENT_ROWS}
+        WHERE CAST('0x' || substr(md5(coalesce(user_session, user_id, '')), 1, 8) AS BIGINT) < {SAMPLE} * 4294967296""",
     "snk_csv_overwrite": EVENT_ROWS,
-    "snk_csv_single": f"{EV} SELECT count(*) AS rows, CAST(1 AS BIGINT) AS files FROM ({per_product('ev')})",
     "snk_repartition": f"{EV} SELECT count(*) AS rows, greatest(10, count(*) // 200000) AS files FROM ev",
     "snk_verify": f"{STEPS} SELECT count(*) AS written, count(*) AS found FROM history",
     "snk_compression": f"{EV} SELECT count(*) AS rows, TRUE AS compressed FROM ev",
@@ -155,14 +155,14 @@ ORACLES = {
     "prof_non_null": _counts("IS NOT NULL"),
     "prof_null": _counts("IS NULL"),
     "prof_top_values": _top_values(),
-    "prof_top_values_wide": f"""{EV}
-        SELECT 'frequency' AS brand,
-               count(*) FILTER (WHERE brand IS NULL) AS "null",
-               count(*) FILTER (WHERE brand = 'brand0') AS brand0,
-               count(*) FILTER (WHERE brand = 'brand1') AS brand1,
-               count(*) FILTER (WHERE brand = 'brand2') AS brand2,
-               count(*) FILTER (WHERE brand = 'brand3') AS brand3
-        FROM ev""",
+    "prof_approx_distinct": " UNION ALL ".join(
+        f"SELECT '{field}' AS field, TRUE AS holds"
+        for field in ("product_id", "user_id", "user_session", "event_type", "category_code", "brand")
+    ),
+    "prof_top_values_wide": f"""{EV}, top AS (
+          SELECT coalesce(brand, 'null') AS label, count(*) AS n FROM ev GROUP BY brand
+          ORDER BY n DESC, brand NULLS FIRST LIMIT 3)
+        SELECT 'frequency' AS brand, * FROM (PIVOT top ON label USING max(n))""",
     "prof_dup_impact": f"""{STEPS}
         SELECT count(*) AS rows_to_delete, count(*) / (SELECT count(*) FROM ev) * 100 AS percent_to_delete
         {SHARED_ROWS}""",
@@ -248,5 +248,5 @@ ORACLES = {
     "features_session_product": f"{STEPS} SELECT * FROM history",
     "feature_table": f"{STEPS} {FEATURES}",
     "etl_run": f"{steps(MONTHS_START, MONTHS_END, THREE_MONTHS)} {FEATURES}",
-    "etl_cloud_min": FIRST_VIEWS,
+    "etl_cloud_min": f"{EV} SELECT event_time, brand, price, user_id FROM ev WHERE event_type = 'view'",
 }

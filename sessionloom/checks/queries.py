@@ -13,9 +13,9 @@ from sessionloom.functions import (
     as_flag, hhmm, is_product_event, is_purchase, is_view, month_label, seconds_between, weekday,
 )
 from sessionloom.plans import MinimalConfig, RunConfig, etl_cloud_min, etl_run, feature_table
-from sessionloom.plans.etl import cached_when_small, first_views
+from sessionloom.plans.etl import computed_once, first_views
 from sessionloom.schema import PRODUCT_ATTRIBUTES, RAW_COLUMNS
-from sessionloom.session import materialise, new_path
+from sessionloom.session import list_names, materialise, move, new_path
 
 from .adapter import END, START, clickstream
 
@@ -25,6 +25,9 @@ QUERIES: dict[str, Query] = {}
 # Range of the queries over several monthly files; its first day of month is after its last.
 MONTHS_START, MONTHS_END = "2024-01-16 00:00:00", "2024-03-15 00:00:00"
 
+# Share of the sessions that `src_sample` keeps.
+SAMPLE = 0.25
+
 EVENT_KEYS = ["event_time", "event_type", "product_id", "user_id", "user_session"]
 
 
@@ -58,12 +61,13 @@ def as_text(events: DataFrame, suffix: str = "") -> DataFrame:
 
 
 def monthly_files(events: DataFrame) -> str:
-    """Raw files as they arrive: text with the ' UTC' suffix, one CSV per month."""
-    folder = new_path(events.sparkSession, "raw")
+    """Raw files as they arrive: text with the ' UTC' suffix, one CSV per month of the events."""
+    spark, folder = events.sparkSession, new_path(events.sparkSession, "raw")
     raw = as_text(events, suffix=" UTC")
-    for month in ("2024-Jan", "2024-Feb", "2024-Mar"):
-        of_month = raw.where(month_label(F.substring("event_time", 1, 10)) == month)
-        sinks.write_csv(of_month, f"{folder}/{month}.csv")
+    month = month_label(F.substring("event_time", 1, 10))
+    raw.withColumn("month", month).write.partitionBy("month").csv(folder, header=True)
+    for name in list_names(spark, f"{folder}/month=*"):
+        move(spark, f"{folder}/{name}", f"{folder}/{name.removeprefix('month=')}.csv")
     return folder
 
 
@@ -159,7 +163,7 @@ def src_land_pending(spark, sf_dir):
 
 @on_events
 def src_sample(events):
-    return sources.cap_rows(events)
+    return sources.sample_sessions(events, SAMPLE)
 
 
 # ---- sinks
@@ -173,13 +177,6 @@ def snk_csv_overwrite(spark, sf_dir):
     return sources.read_typed(spark, path)
 
 
-@query
-def snk_csv_single(spark, sf_dir):
-    path = new_path(spark, "single")
-    sinks.write_single(op.features_product(clickstream(spark, sf_dir)), path)
-    return file_report(spark, path)
-
-
 @query
 def snk_repartition(spark, sf_dir):
     path = new_path(spark, "sized")
@@ -211,16 +208,7 @@ def snk_compression(spark, sf_dir):
 
 @on_events
 def prof_row_count(events):
-    cleaned = op.clean_sessions(events)
-    kept = in_range(cleaned)
-    return op.row_counts(
-        {
-            "extraction": events,
-            "cleaning": cleaned,
-            "date filters": kept,
-            "features per product": op.features_product(kept),
-        }
-    )
+    return op.step_counts(events, START, END)
 
 
 @on_events
@@ -235,8 +223,9 @@ def prof_null(events):
 
 @on_events
 def prof_approx_distinct(events):
+    """Estimates vary with the sketch, so what is compared is that they are near enough."""
     fields = ["product_id", "user_id", "user_session", "event_type", "category_code", "brand"]
-    return op.approx_distinct(events, fields)
+    return op.approx_distinct_holds(events, fields)
 
 
 @on_events
@@ -246,7 +235,8 @@ def prof_top_values(events):
 
 @on_events
 def prof_top_values_wide(events):
-    return op.top_values_wide(events, "brand")
+    """Fewer values than there are, so that the cut shows."""
+    return op.top_values_wide(events, "brand", k=3)
 
 
 @on_events
@@ -416,10 +406,11 @@ def agg_min_max_time(events):
 @on_events
 def win_running_count(events):
     starts = events.groupBy("user_session", "user_id").agg(F.min("event_time").alias("temp_start_dt"))
+    starts = materialise(starts, "session-starts")
     return op.running_total(
         starts, ["user_id"], ["temp_start_dt", "user_session"],
         as_flag(F.col("user_session").isNotNull()), "num_prev_sessions",
-        heavy=op.heavy_keys(events, ["user_id"]),
+        heavy=op.heavy_keys(starts, ["user_id"]),
     )
 
 
@@ -429,10 +420,11 @@ def win_running_sum(events):
         F.sum(as_flag(is_view())).alias("num_views_product"),
         F.min("event_time").alias("temp_start_dt"),
     )
+    views = materialise(views, "session-views")
     return op.running_total(
         views, ["product_id", "user_id"], ["temp_start_dt", "user_session"],
         F.col("num_views_product"), "num_prev_product_views",
-        heavy=op.heavy_keys(events, ["product_id", "user_id"]),
+        heavy=op.heavy_keys(views, ["product_id", "user_id"]),
     )
 
 
@@ -507,10 +499,9 @@ def srt_top_k(events):
 
 @on_events
 def opt_conditional_cache(events):
-    """The cleaned events feed two branches; what is cached is released before returning."""
-    with cached_when_small(in_range(op.clean_sessions(events)), raw=events) as kept:
-        joined = op.features_product(kept).join(op.features_session(kept), "user_session")
-        return materialise(joined, "from-cache")
+    """The cleaned events feed two branches, and are computed once for both."""
+    kept = computed_once(in_range(op.clean_sessions(events)), reused=True)
+    return op.features_product(kept).join(op.features_session(kept), "user_session")
 
 
 @query
@@ -567,13 +558,11 @@ QUERIES["etl_run"] = QUERIES.pop("etl_run_query")
 @query
 def etl_cloud_min_query(spark, sf_dir):
     config = MinimalConfig(
-        raw_path=written(clickstream(spark, sf_dir)), destination=new_path(spark, "views"),
-        order=("event_time", "brand", "price", "user_id"),
+        raw_path=written(clickstream(spark, sf_dir)), destination=new_path(spark, "views")
     )
     etl_cloud_min(spark, config)
-    return spark.read.schema("event_time timestamp_ntz, brand string, price double, user_id string").csv(
-        config.destination, header=True
-    )
+    kinds = "event_time timestamp_ntz, brand string, price double, user_id string"
+    return sinks.read_written(spark, kinds).csv(config.destination)
 
 
 QUERIES["etl_cloud_min"] = QUERIES.pop("etl_cloud_min_query")

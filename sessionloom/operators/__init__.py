@@ -4,14 +4,15 @@ from .clean import (
 from .features import features_product, features_session, features_session_product
 from .history import HEAVY_GROUP_ROWS, heavy_keys, running_total
 from .profile import (
-    approx_distinct, dup_impact, non_null_counts, null_counts, row_counts, top_pair, top_pair_history,
-    top_values, top_values_wide,
+    approx_distinct, approx_distinct_holds, dup_impact, non_null_counts, null_counts, step_counts,
+    top_pair, top_pair_history, top_values, top_values_wide,
 )
 
 __all__ = [
-    "HEAVY_GROUP_ROWS", "approx_distinct", "clean_sessions", "date_range", "dup_impact",
+    "HEAVY_GROUP_ROWS", "approx_distinct", "approx_distinct_holds", "clean_sessions",
+    "date_range", "dup_impact",
     "events_of", "features_product", "features_session", "features_session_product",
     "heavy_keys", "multi_user_sessions", "non_null_counts", "null_counts", "product_events",
-    "row_counts", "running_total", "since", "top_pair", "top_pair_history", "top_values",
+    "running_total", "since", "step_counts", "top_pair", "top_pair_history", "top_values",
     "top_values_wide", "until", "views",
 ]

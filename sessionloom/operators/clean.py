@@ -4,39 +4,58 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sessionloom.functions import is_product_event, is_view
 from sessionloom.schema import EVENT_DATE, EVENT_TIME, SESSION, USER
-from sessionloom.session import materialise
+from sessionloom.session import materialise, observed
 from sessionloom.sources.months import parse_bound
 
 
-def multi_user_sessions(events: DataFrame) -> DataFrame:
-    """Sessions seen with more than one user; a null user counts as a user.
+def users_of_sessions(events: DataFrame) -> DataFrame:
+    """Users and rows of each session; a null user counts as a user, and no session as one.
 
-    Distinct pairs first, then a count: both steps combine within tasks before they shuffle,
-    so neither a session nor a user with very many rows ends up in one task.
+    Rows are counted per session and user, then per session.  Both steps combine within tasks
+    before they shuffle, so neither a session nor a user with very many rows meets in one task.
     """
-    return (
-        events.select(SESSION, USER)
-        .distinct()
-        .groupBy(SESSION)
-        .count()
-        .where(F.col("count") > 1)
-    )
+    pairs = events.groupBy(SESSION, USER).agg(F.count(F.lit(1)).alias("rows"))
+    return pairs.groupBy(SESSION).agg(F.count(F.lit(1)).alias("users"), F.sum("rows").alias("rows"))
+
+
+def is_shared() -> Column:
+    """Of a row of `users_of_sessions`: a session with more than one user."""
+    return F.col(SESSION).isNotNull() & (F.col("users") > 1)
+
+
+def multi_user_sessions(events: DataFrame) -> DataFrame:
+    """Sessions seen with more than one user, and how many; the null session too."""
+    sessions = users_of_sessions(events)
+    return sessions.where("users > 1").select(SESSION, F.col("users").alias("count"))
 
 
-def clean_sessions(events: DataFrame) -> DataFrame:
+def clean_sessions(events: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
     """Events without those of multi-user sessions; events without a session stay.
 
-    The session list is written out first (one job).  A few sessions in a million are shared,
-    so Catalyst, seeing the size of the written list, broadcasts it and the events are
-    filtered where they are read; should the list be large, it joins by shuffle instead.
+    The session list is written out first (one job), which also gives `counts` the rows loaded
+    and those left.  A few sessions in a million are shared, so Catalyst, seeing the size of the
+    written list, broadcasts it and the events are filtered where they are read; should the list
+    be large, it joins by shuffle instead.  Events without a session match nothing, but may be
+    many; a second key deals them evenly then.
     """
-    bad = materialise(multi_user_sessions(events.where(F.col(SESSION).isNotNull())), "shared-sessions")
-    return events.join(bad.select(SESSION), SESSION, "left_anti").select(events.columns)
+    sessions = users_of_sessions(events)
+    seen = Observation()
+    if counts is not None:
+        dropped = F.sum(F.when(is_shared(), F.col("rows")))
+        sessions = sessions.observe(seen, F.sum("rows").alias("rows"), dropped.alias("dropped"))
+    shared = sessions.where(is_shared()).select(SESSION, F.lit(0).cast("long").alias("_deal"))
+    bad = materialise(shared, "shared-sessions")
+    if counts is not None:
+        loaded, gone = (observed(seen).get(name, 0) for name in ("rows", "dropped"))
+        counts |= {"loaded": loaded, "cleaned": loaded - gone}
+    deal = F.when(F.col(SESSION).isNull(), F.pmod(F.xxhash64(USER, EVENT_TIME), F.lit(4096)))
+    dealt = events.withColumn("_deal", F.coalesce(deal, F.lit(0).cast("long")))
+    return dealt.join(bad, [SESSION, "_deal"], "left_anti").select(events.columns)
 
 
 def events_of(events: DataFrame, sessions: DataFrame) -> DataFrame:

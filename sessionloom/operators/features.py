@@ -1,44 +1,58 @@
 """The three feature steps as separate operators.
 
-`plans.table` computes the same rows with fewer shuffles; these are for use on their own
-and for users too large for one task.
+`plans.table` computes the same rows from `visits` with fewer shuffles; the separate steps are
+for use on their own, and on visits for users too large for one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.functions import as_flag, hhmm, is_purchase, is_view, seconds_between, weekday
+from sessionloom.functions import (
+    as_flag, hhmm, is_product_event, is_purchase, is_view, seconds_between, weekday,
+)
 from sessionloom.schema import EVENT_TIME, PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER
 from sessionloom.session import materialise
 
 from .clean import product_events
-from .history import (
-    HEAVY_GROUP_ROWS, heavy_keys, running_total, sliced_total, with_keys, without_keys,
-)
+from .history import HEAVY_GROUP_ROWS, heavy_keys, running_total, sliced_total
 
 START, END = "temp_start_dt", "temp_end_dt"
 
+# Columns of `visits`: whether the row is of views and purchases, and its first and last event.
+TOUCHED, FIRST, LAST = "_touched", "_first", "_last"
+
 # Ties on the start second are ordered, so that repeated runs agree.
 SESSION_ORDER = [START, SESSION]
 PRODUCT_ORDER = [START, SESSION, *PRODUCT_ATTRIBUTES]
 
 
+def visits(events: DataFrame) -> DataFrame:
+    """One row per user, session, product and attributes, for all that is computed from views and
+    purchases; events of other types make one row per session, without a product."""
+    touched = F.coalesce(is_product_event(), F.lit(False))
+    variant = [F.when(touched, F.col(name)).alias(name) for name in [PRODUCT, *PRODUCT_ATTRIBUTES]]
+    return events.groupBy(USER, SESSION, touched.alias(TOUCHED), *variant).agg(
+        *_views_and_purchases(), F.min(EVENT_TIME).alias(FIRST), F.max(EVENT_TIME).alias(LAST)
+    )
+
+
+def _views_and_purchases() -> list[Column]:
+    return [
+        F.max(as_flag(is_purchase())).alias("purchased"),
+        F.sum(as_flag(is_view())).alias("num_views_product"),
+    ]
+
+
 def features_product(events: DataFrame) -> DataFrame:
     """Purchase flag and view count per session, product and attributes.
 
     A price, brand or category change within a session gives one row per variant.  Repeated
     identical events all count.
     """
-    return (
-        product_events(events)
-        .groupBy(PRODUCT, *PRODUCT_ATTRIBUTES, SESSION)
-        .agg(
-            F.max(as_flag(is_purchase())).alias("purchased"),
-            F.sum(as_flag(is_view())).alias("num_views_product"),
-        )
-    )
+    per_variant = product_events(events).groupBy(PRODUCT, *PRODUCT_ATTRIBUTES, SESSION)
+    return per_variant.agg(*_views_and_purchases())
 
 
 def session_spans(events: DataFrame) -> DataFrame:
@@ -50,6 +64,16 @@ def session_spans(events: DataFrame) -> DataFrame:
     )
 
 
+def spans_of_visits(rows: DataFrame) -> DataFrame:
+    """The same from `visits`."""
+    viewed = F.when(F.col("num_views_product") > 0, F.col(PRODUCT))
+    return rows.groupBy(SESSION, USER).agg(
+        F.count_distinct(viewed).alias("num_views_session"),
+        F.min(FIRST).alias(START),
+        F.max(LAST).alias(END),
+    )
+
+
 def describe_sessions(spans: DataFrame) -> DataFrame:
     return spans.withColumns(
         {
@@ -64,20 +88,17 @@ def features_session(events: DataFrame, heavy_limit: int = HEAVY_GROUP_ROWS) ->
     """Span, distinct viewed products and number of the user's earlier sessions.
 
     Every event type shapes a session.  Sessions without a product row count as earlier ones.
+    Runs a job when called: the sessions are written once, and users with too many of them for
+    one task are found there.
     """
-    heavy = heavy_keys(events, [USER], heavy_limit)
-    if heavy is None:
-        return _numbered(events, running_total)
-    return _numbered(without_keys(events, heavy), running_total).unionByName(
-        _numbered(with_keys(events, heavy), sliced_total)
-    )
+    spans = materialise(session_spans(events), "session-spans")
+    return _numbered(spans, running_total, heavy=heavy_keys(spans, [USER], heavy_limit), limit=heavy_limit)
 
 
-def _numbered(events, total) -> DataFrame:
-    sessions = describe_sessions(session_spans(events))
+def _numbered(spans: DataFrame, total, **options) -> DataFrame:
     # Events without a session id make a row here, but that is no earlier session of the user.
     has_id = as_flag(F.col(SESSION).isNotNull())
-    return total(sessions, [USER], SESSION_ORDER, has_id, "num_prev_sessions")
+    return total(describe_sessions(spans), [USER], SESSION_ORDER, has_id, "num_prev_sessions", **options)
 
 
 def features_session_product(
@@ -86,11 +107,13 @@ def features_session_product(
     """Product rows with their session's features and the user's earlier views of the product.
 
     The join stays a plain inner join: adaptive execution splits a session that is too large.
-    Its result is written out once, so that looking for heavy groups does not compute it twice.
+    Pairs of user and product with too many rows for one task are found by a join of the three
+    key columns, counted and not written.
     """
-    joined = materialise(per_product.join(per_session, SESSION), "session-products")
-    heavy = heavy_keys(joined, [USER, PRODUCT], heavy_limit)
-    return with_product_history(joined, running_total, heavy=heavy)
+    keys = per_product.select(SESSION, PRODUCT).join(per_session.select(SESSION, USER), SESSION)
+    heavy = heavy_keys(keys, [USER, PRODUCT], heavy_limit)
+    joined = per_product.join(per_session, SESSION)
+    return with_product_history(joined, running_total, heavy=heavy, limit=heavy_limit)
 
 
 def with_product_history(joined: DataFrame, total, **options) -> DataFrame:
@@ -104,7 +127,8 @@ def with_product_history(joined: DataFrame, total, **options) -> DataFrame:
     )
 
 
-def composed_features(events: DataFrame, total=sliced_total) -> DataFrame:
-    """All three steps on cleaned events of the range, with the given running total."""
-    joined = features_product(events).join(_numbered(events, total), SESSION)
-    return with_product_history(joined, total).drop(START, END)
+def composed_features(rows: DataFrame, total=sliced_total, **options) -> DataFrame:
+    """All three steps on visits of cleaned events, with the given running total."""
+    per_product = rows.where(TOUCHED).drop(USER, TOUCHED, FIRST, LAST)
+    joined = per_product.join(_numbered(spans_of_visits(rows), total, **options), SESSION)
+    return with_product_history(joined, total, **options).drop(START, END)

@@ -18,15 +18,13 @@ HEAVY_GROUP_ROWS = 5_000_000
 def heavy_keys(rows: DataFrame, keys: list[str], limit: int = HEAVY_GROUP_ROWS) -> DataFrame | None:
     """Keys with more than `limit` rows, or None if there are none.
 
-    Runs one job: a count combined within tasks that reads only the key columns and brings the
-    largest count to the driver.  If there are heavy keys, at most rows/limit of them, they are
-    written out, so that later joins know their size.
+    Runs one job over `rows`: a count combined within tasks that reads only the key columns.
+    Heavy keys, at most rows/limit of them, are written out, so that later joins know their size.
+    `rows` should be the rows that a window will read, as a written table.
     """
-    counts = rows.groupBy(*keys).count()
-    largest = counts.agg(F.max("count")).first()[0]
-    if largest is None or largest <= limit:
-        return None
-    return materialise(counts.where(F.col("count") > limit).select(*keys), "heavy-keys")
+    counts = rows.groupBy(*keys).count().where(F.col("count") > limit)
+    heavy = materialise(counts.select(*keys), "heavy-keys")
+    return None if heavy.isEmpty() else heavy
 
 
 def with_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -49,6 +47,7 @@ def running_total(
     value: Column,
     name: str,
     heavy: DataFrame | None = None,
+    limit: int = HEAVY_GROUP_ROWS,
 ) -> DataFrame:
     """Adds `name`: the sum of `value` over rows of the same `keys` ordered strictly earlier.
 
@@ -59,7 +58,8 @@ def running_total(
     if heavy is None:
         return _windowed(rows, keys, order, value, name)
     light = _windowed(without_keys(rows, heavy), keys, order, value, name)
-    return light.unionByName(sliced_total(with_keys(rows, heavy), keys, order, value, name))
+    sliced = sliced_total(with_keys(rows, heavy), keys, order, value, name, limit=limit)
+    return light.unionByName(sliced)
 
 
 def _windowed(rows, keys, order, value, name) -> DataFrame:
@@ -76,16 +76,21 @@ def sliced_total(
     value: Column,
     name: str,
     slices: int | None = None,
+    limit: int = HEAVY_GROUP_ROWS,
 ) -> DataFrame:
     """`running_total` that divides the rows evenly between tasks, whatever their keys.
 
-    The rows are range partitioned by key and order, which cuts a large key into consecutive
-    slices, and written out so that the cut is fixed.  A row's total is the running total in
+    The rows are written, so that sampling them for the ranges computes nothing again and their
+    number gives the number of slices, of `limit` rows each.  They are then range partitioned by
+    key and order, which cuts a large key into consecutive slices, and written so that the cut
+    is fixed.  A row's total is the running total in
     its slice plus the sum of the key's earlier slices.  There is one such sum per key and
     slice it touches: at most one per slice and one per key.
     """
+    whole = materialise(rows, "to-slice")
+    slices = slices or max(1, -(-whole.count() // max(1, limit)))
     cuts = [F.col(column).asc_nulls_first() for column in [*keys, *order]]
-    spread = rows.repartitionByRange(*([slices] if slices else []), *cuts)
+    spread = whole.repartitionByRange(slices, *cuts)
     cut = materialise(
         # A struct is never null itself, so null keys match like any other below.
         spread.select(

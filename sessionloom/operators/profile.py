@@ -1,25 +1,53 @@
-"""Data profiling: each report is one pass over the events."""
+"""Data profiling: each report reads the events once; those on shared sessions or on the feature
+table add the passes that these take."""
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.schema import PRODUCT, SESSION, USER
+from sessionloom.functions import is_product_event
+from sessionloom.schema import PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER
 from sessionloom.session import materialise
 
+from .clean import is_shared, since, until, users_of_sessions
 from .history import with_keys
 
 
-def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each named step."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(step).alias("step"), "row_count")
-        for step, df in steps.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+def step_counts(
+    events: DataFrame, start: str | datetime | None = None, end: str | datetime | None = None
+) -> DataFrame:
+    """Rows loaded, without shared sessions, within the range too, and product rows of those.
+
+    One pass over the events, besides the one for the list of shared sessions: each event is
+    flagged, events are counted per product row and flags, and those counts are added up.
+    """
+    bad = materialise(
+        users_of_sessions(events).where(is_shared()).select(SESSION, F.lit(True).alias("_shared")),
+        "shared-sessions",
+    )
+    ranges = [since(start)] if start is not None else []
+    ranges += [until(end)] if end is not None else []
+    inside = F.coalesce(reduce(and_, ranges, F.lit(True)), F.lit(False))
+    touched = F.coalesce(is_product_event(), F.lit(False))
+    keys = [F.when(touched, F.col(name)).alias(name) for name in (PRODUCT, *PRODUCT_ATTRIBUTES, SESSION)]
+    flagged = events.join(bad, SESSION, "left")
+    grouped = flagged.groupBy(
+        F.col("_shared").isNull().alias("_clean"), inside.alias("_inside"), touched.alias("_touched"), *keys
+    ).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = F.col("_clean") & F.col("_inside")
+    none = F.lit(0).cast("long")
+    counts = grouped.agg(
+        F.coalesce(F.sum("_rows"), none).alias("extraction"),
+        F.coalesce(F.sum(F.when(F.col("_clean"), F.col("_rows"))), none).alias("cleaning"),
+        F.coalesce(F.sum(F.when(kept, F.col("_rows"))), none).alias("date filters"),
+        F.count_if(kept & F.col("_touched")).alias("features per product"),
+    )
+    return counts.unpivot([], counts.columns, "step", "row_count")
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
@@ -34,6 +62,15 @@ def approx_distinct(df: DataFrame, fields: list[str], rsd: float = 0.05) -> Data
     return df.agg(*[F.approx_count_distinct(name, rsd).alias(name) for name in fields])
 
 
+def approx_distinct_holds(df: DataFrame, fields: list[str], rsd: float = 0.05) -> DataFrame:
+    """Whether each field's estimate lies within three standard deviations of the exact count."""
+    flags = []
+    for name in fields:
+        estimate, exact = F.approx_count_distinct(name, rsd), F.count_distinct(name)
+        flags.append((F.abs(estimate - exact) <= 3 * rsd * exact).alias(name))
+    return df.agg(*flags).unpivot([], fields, "field", "holds")
+
+
 def top_values(df: DataFrame, fields: list[str], k: int = 5) -> DataFrame:
     """The `k` most frequent values of each field, null being a value; ties by value.
 
@@ -61,12 +98,15 @@ def top_values(df: DataFrame, fields: list[str], k: int = 5) -> DataFrame:
 def top_values_wide(df: DataFrame, field: str, k: int = 5, null_label: str = "null") -> DataFrame:
     """`top_values` of one field as a single row with one column per value.
 
-    The null group gets a label first, since a transposition would drop it.
+    The null group gets a label first, since a transposition would drop it; it is lengthened by
+    underscores while a value is spelled like it.  Only the `k` values reach the driver.
     """
-    top = top_values(df, [field], k).select(
-        F.coalesce("value", F.lit(null_label)).alias(field), "frequency"
-    )
-    return top.transpose(F.col(field)).withColumnRenamed("key", field)
+    top = materialise(top_values(df, [field], k), "top-values")
+    values = {row["value"] for row in top.select("value").collect()}
+    while null_label in values:
+        null_label += "_"
+    named = top.select(F.coalesce("value", F.lit(null_label)).alias(field), "frequency")
+    return named.transpose(F.col(field)).withColumnRenamed("key", field)
 
 
 def dup_impact(events: DataFrame) -> DataFrame:
@@ -74,13 +114,8 @@ def dup_impact(events: DataFrame) -> DataFrame:
 
     Adds up counts per session instead of joining the events with a list of sessions.
     """
-    per_session = (
-        events.groupBy(SESSION, USER).agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy(SESSION).agg(F.count(F.lit(1)).alias("users"), F.sum("rows").alias("rows"))
-    )
-    shared = (F.col("users") > 1) & F.col(SESSION).isNotNull()
-    to_delete = F.coalesce(F.sum(F.when(shared, F.col("rows"))), F.lit(0))
-    return per_session.agg(
+    to_delete = F.coalesce(F.sum(F.when(is_shared(), F.col("rows"))), F.lit(0))
+    return users_of_sessions(events).agg(
         to_delete.alias("rows_to_delete"),
         (to_delete / F.sum("rows") * 100).alias("percent_to_delete"),
     )

@@ -5,23 +5,17 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionloom.operators import HEAVY_GROUP_ROWS, views
 from sessionloom.session import build_session, drop_tables, materialise, new_path
-from sessionloom.sinks import write_csv, write_verified
-from sessionloom.sinks.csv import ROWS_PER_FILE
-from sessionloom.sources import cap_rows, check_range, land_pending, read_landed, read_typed
+from sessionloom.sinks import write_verified
+from sessionloom.sources import check_range, land_pending, read_landed, read_typed, sample_sessions
 
 from .table import feature_table
 
-# Fixed value: event counts below this are worth caching.
-MAX_CACHED_ROWS = 200_000_000
-
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -32,80 +26,65 @@ class RunConfig:
     end: str
     destination: str = "data/processed"
     zone_dir: str | None = None  # where months stay landed for later runs; None: for this run
-    sample_rows: int | None = None  # debug mode
-    rows_per_file: int = ROWS_PER_FILE
+    sample: float | None = None  # debug mode: share of the sessions
+    tolerated: float = 0.01  # share of broken raw records above which the run stops
+    rows_per_file: int | None = None  # None: files are sized by bytes
     compression: str | None = None
     heavy_limit: int = HEAVY_GROUP_ROWS
 
 
+MINIMAL_COLUMNS = ["event_time", "brand", "price", "user_id"]
+
+
 @dataclass(frozen=True)
 class MinimalConfig:
     raw_path: str
     destination: str
-    rows: int = 1000
-    order: tuple[str, ...] = ()
 
 
 def etl_run(spark: SparkSession, config: RunConfig) -> dict:
     """Extract, transform, load.  Any failure raises, an incomplete load included.
 
-    Text is parsed once, by landing the months of the range.  The feature table is computed
-    once, by the write; its rows are counted along the way.
+    Text is parsed once, by landing the months of the range.  The report has the rows loaded,
+    cleaned, in range, aggregated to visits, and written, all counted by the jobs themselves.
     """
     check_range(config.start, config.end)
     zone_dir = config.zone_dir or new_path(spark, "zone")
-    landed = land_pending(spark, config.raw_dir, zone_dir, config.start, config.end)
+    landed = land_pending(
+        spark, config.raw_dir, zone_dir, config.start, config.end, config.tolerated
+    )
     logging.info("landed: %s", landed)
 
     events = read_landed(spark, zone_dir, config.start, config.end)
-    if config.sample_rows is not None:
-        # Written out, as a limit may pick other rows each time it is computed.
-        events = materialise(cap_rows(events, config.sample_rows), "sample")
-    features = feature_table(events, config.start, config.end, config.heavy_limit)
+    if config.sample is not None:
+        events = sample_sessions(events, config.sample)
+    counts: dict[str, int] = {}
+    features = feature_table(events, config.start, config.end, config.heavy_limit, counts)
+    logging.info("rows: %s", counts)
 
     report = write_verified(features, config.destination, config.compression, config.rows_per_file)
-    logging.info("%s rows in %s files", report["rows"], len(report["files"]))
-    return {"landed": landed, **report}
+    logging.info("%s rows in %s files", report["rows"], report["files"])
+    return {"landed": landed, "counts": counts, **report}
 
 
-def etl_cloud_min(spark: SparkSession, config: MinimalConfig) -> None:
-    """The smallest run: some views, four columns, CSV."""
+def etl_cloud_min(spark: SparkSession, config: MinimalConfig) -> dict:
+    """The smallest run: all views, four columns, CSV; checked like any other."""
     events = read_typed(spark, config.raw_path)
-    write_csv(first_views(events, config.rows, config.order), config.destination)
+    return write_verified(views(events).select(MINIMAL_COLUMNS), config.destination)
 
 
-def first_views(events: DataFrame, rows: int = 1000, order: Sequence[str] = ()) -> DataFrame:
-    """At most `rows` views: the first ones by `order`, or whichever come first without one."""
-    chosen = views(events).select("event_time", "brand", "price", "user_id")
-    return (chosen.orderBy(*order) if order else chosen).limit(rows)
+def first_views(events: DataFrame, rows: int, order: Sequence[str]) -> DataFrame:
+    """The first `rows` views by `order`."""
+    return views(events).select(MINIMAL_COLUMNS).orderBy(*order).limit(rows)
 
 
-@contextmanager
-def cached_when_small(
-    df: DataFrame,
-    policy: str = "auto",
-    raw: DataFrame | None = None,
-    max_rows: int = MAX_CACHED_ROWS,
-):
-    """`df`, kept in memory and on disk within the block if that pays, and released afterwards.
+def computed_once(df: DataFrame, reused: bool) -> DataFrame:
+    """`df` as a table in the shared folder if it is `reused`, so that it is computed once.
 
     For work that reads `df` in several branches; `feature_table` reads its events in one and
-    needs no cache.  "auto" caches if `raw`, the events as read, has fewer than `max_rows` rows:
-    counting those takes no more than the file footers, counting `df` would compute it.
-    "always" and "never" do not count.
+    needs none.
     """
-    if policy not in ("auto", "always", "never"):
-        raise ValueError(f"unknown cache policy {policy!r}")
-    source = df if raw is None else raw
-    keep = policy == "always" or (policy == "auto" and source.count() < max_rows)
-    if not keep:
-        yield df
-        return
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+    return materialise(df, "computed-once") if reused else df
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -116,7 +95,11 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--date-end", required=True, help="YYYY-MM-DD HH:MM:SS, inclusive")
     parser.add_argument("--destination", default=RunConfig.destination)
     parser.add_argument("--zone-dir")
-    parser.add_argument("--sample-rows", type=int)
+    parser.add_argument("--sample", type=float, help="debug mode: share of the sessions")
+    parser.add_argument("--tolerated", type=float, default=RunConfig.tolerated, help="share of broken records")
+    parser.add_argument("--compression")
+    parser.add_argument("--rows-per-file", type=int)
+    parser.add_argument("--heavy-limit", type=int, default=RunConfig.heavy_limit)
     given = parser.parse_args(arguments)
     config = RunConfig(
         raw_dir=given.raw_dir.rstrip("/"),
@@ -124,7 +107,11 @@ def main(arguments: list[str] | None = None) -> int:
         end=given.date_end,
         destination=given.destination.rstrip("/"),
         zone_dir=given.zone_dir and given.zone_dir.rstrip("/"),
-        sample_rows=given.sample_rows,
+        sample=given.sample,
+        tolerated=given.tolerated,
+        compression=given.compression,
+        rows_per_file=given.rows_per_file,
+        heavy_limit=given.heavy_limit,
     )
     logging.basicConfig(level=logging.INFO, format="%(asctime)s: %(message)s")
     spark = build_session()

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from sessionloom.functions import as_flag, is_product_event, is_purchase, is_view
+from sessionloom.functions import as_flag
 from sessionloom.operators.clean import clean_sessions, date_range
 from sessionloom.operators.features import (
-    END, PRODUCT_ORDER, START, composed_features, describe_sessions,
+    END, FIRST, LAST, PRODUCT_ORDER, START, TOUCHED, composed_features, describe_sessions, visits,
 )
 from sessionloom.operators.history import HEAVY_GROUP_ROWS, heavy_keys, with_keys, without_keys
-from sessionloom.schema import (
-    EVENT_TIME, FEATURE_COLUMNS, PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER,
-)
+from sessionloom.schema import FEATURE_COLUMNS, PRODUCT, SESSION, USER
+from sessionloom.session import materialise, observed
 
 
 def feature_table(
@@ -23,46 +22,44 @@ def feature_table(
     start: str | datetime | None = None,
     end: str | datetime | None = None,
     heavy_limit: int = HEAVY_GROUP_ROWS,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """Cleaned, date-limited events as training rows.
 
     Cleaning looks at all given events, so a session whose second user appears outside the
     range is removed too.  Spans and history only see the range.
 
-    Events without a session give no row and count nowhere, so they are dropped at the scan.
-    Two small jobs run when this is called: the list of shared sessions and the list of users
-    with more than `heavy_limit` events.
+    Events are read twice, in jobs that run when this is called: the columns of session and user
+    for the list of shared sessions, and once for the visits, which are written.  Everything else
+    reads the visits: the count of their rows per user, the windows, and, for users with more
+    than `heavy_limit` rows, the steps that divide them between tasks.
+
+    `counts` gets the rows after each step: loaded, cleaned, in_range (those with a session) and
+    visits.
     """
-    events = events.where(F.col(SESSION).isNotNull())
-    heavy = heavy_keys(date_range(events, start, end), [USER], heavy_limit)
-    kept = date_range(clean_sessions(events), start, end)
+    seen = Observation()
+    cleaned = clean_sessions(events, counts).where(F.col(SESSION).isNotNull())
+    in_range = date_range(cleaned, start, end)
+    if counts is not None:
+        in_range = in_range.observe(seen, F.count(F.lit(1)).alias("in_range"))
+    rows = materialise(visits(in_range), "visits")
+    if counts is not None:
+        counts["in_range"] = observed(seen).get("in_range", 0)
+        counts["visits"] = rows.count()
+    heavy = heavy_keys(rows, [USER], heavy_limit)
     if heavy is None:
-        return _by_user(kept)
-    rest = _by_user(without_keys(kept, heavy))
-    return rest.unionByName(composed_features(with_keys(kept, heavy)).select(FEATURE_COLUMNS))
+        return _by_user(rows)
+    large = composed_features(with_keys(rows, heavy), limit=heavy_limit)
+    return _by_user(without_keys(rows, heavy)).unionByName(large.select(FEATURE_COLUMNS))
 
 
-def _by_user(events: DataFrame) -> DataFrame:
-    """All features from a single partitioning by user.
+def _by_user(rows: DataFrame) -> DataFrame:
+    """All features of visits from a single partitioning by user.
 
     After cleaning a session has one user, so session spans, session counts and product
-    history all stay within a user.  Events are aggregated to one row per session and product
-    variant (one more per session for events that are no view or purchase), those rows are
-    partitioned by user once, and every window below works on that partitioning.
+    history all stay within a user.
     """
-    touched = F.coalesce(is_product_event(), F.lit(False))
-    variant = [F.when(touched, F.col(name)).alias(name) for name in [PRODUCT, *PRODUCT_ATTRIBUTES]]
-    visits = (
-        events.groupBy(USER, SESSION, touched.alias("_touched"), *variant)
-        .agg(
-            F.max(as_flag(is_purchase())).alias("purchased"),
-            F.sum(as_flag(is_view())).alias("num_views_product"),
-            F.min(EVENT_TIME).alias("_first"),
-            F.max(EVENT_TIME).alias("_last"),
-        )
-        .repartition(USER)
-    )
-
+    rows = rows.repartition(USER)
     session = Window.partitionBy(USER, SESSION)
     variants = Window.partitionBy(USER, SESSION, PRODUCT).orderBy(F.col("num_views_product").desc())
     sessions_so_far = Window.partitionBy(USER).orderBy(START, SESSION)
@@ -77,11 +74,11 @@ def _by_user(events: DataFrame) -> DataFrame:
         & (F.col("num_views_product") > 0)
         & F.col(PRODUCT).isNotNull()
     )
-    spans = visits.withColumn("_counts", as_flag(stands_for_product)).withColumns(
+    spans = rows.withColumn("_counts", as_flag(stands_for_product)).withColumns(
         {
             "num_views_session": F.coalesce(F.sum("_counts").over(session), F.lit(0)),
-            START: F.min("_first").over(session),
-            END: F.max("_last").over(session),
+            START: F.min(FIRST).over(session),
+            END: F.max(LAST).over(session),
         }
     )
     history = spans.withColumns(
@@ -92,4 +89,4 @@ def _by_user(events: DataFrame) -> DataFrame:
             ),
         }
     )
-    return describe_sessions(history.where("_touched")).select(FEATURE_COLUMNS)
+    return describe_sessions(history.where(TOUCHED)).select(FEATURE_COLUMNS)

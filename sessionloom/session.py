@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "sessionloom", **conf: str) -> SparkSession:
@@ -58,6 +59,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """Sums and counts that a finished job observed; 0 is left out for those of no rows.
+
+    If Spark finds beforehand that there are no rows, it drops what observes them, and asking
+    fails.
+    """
+    try:
+        return {name: value for name, value in seen.get.items() if value}
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -69,6 +84,17 @@ def list_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.globStatus(path) or [])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, path = _file_system(spark, path)
+    return files.exists(path)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    files, path = _file_system(spark, path)
+    if not files.rename(path, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file."""
     files, path = _file_system(spark, path)

@@ -1,9 +1,9 @@
 from .csv import (
-    LoadVerificationError, optimal_partitions, read_features, write_csv, write_repartitioned,
-    write_single, write_verified,
+    LoadVerificationError, optimal_partitions, read_features, read_written, write_csv,
+    write_repartitioned, write_verified,
 )
 
 __all__ = [
-    "LoadVerificationError", "optimal_partitions", "read_features", "write_csv",
-    "write_repartitioned", "write_single", "write_verified",
+    "LoadVerificationError", "optimal_partitions", "read_features", "read_written", "write_csv",
+    "write_repartitioned", "write_verified",
 ]

@@ -1,19 +1,24 @@
-"""CSV output: plain, sized, single-file and verified writes."""
+"""CSV output: plain, sized and verified writes, and the reader of what they write."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.schema import FEATURE_SCHEMA
-from sessionloom.session import list_names, materialise
+from sessionloom.session import exists, observed
 
 # Fixed values of the output sizing rule.
 ROWS_PER_FILE = 200_000
 MIN_PARTITIONS = 10
 
-# A single file is written by a single task.
-SINGLE_FILE_ROWS = 5_000_000
+# Quotes are doubled, blanks stay, times have all their digits.  Null is nothing and the empty
+# text a pair of quotes; a reader tells them apart by a word for null that no text contains.
+_SPELLING = {
+    "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+_NULL = "\ue000null\ue001"
 
 
 class LoadVerificationError(RuntimeError):
@@ -29,9 +34,10 @@ def write_csv(
 ) -> None:
     """Overwrite `path` with headed CSV part files.
 
-    `rows_per_file` bounds the files without a count and without a shuffle.
+    A task writes one file, whose bytes adaptive execution chose when it shuffled last;
+    `rows_per_file` bounds them by rows instead, without a count and without a shuffle.
     """
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**_SPELLING, nullValue="", emptyValue='""')
     if compression is not None:
         writer = writer.option("compression", compression)
     if rows_per_file is not None:
@@ -39,57 +45,59 @@ def write_csv(
     writer.csv(path, header=True)
 
 
+def read_written(spark: SparkSession, schema) -> DataFrameReader:
+    """Reader of what `write_csv` wrote, for a given schema.
+
+    Texts may hold line breaks, so a file is read by one task; `write_csv` bounds files.
+    """
+    return spark.read.schema(schema).options(
+        **_SPELLING, header=True, multiLine=True, nullValue=_NULL, emptyValue=""
+    )
+
+
 def write_repartitioned(df: DataFrame, path: str, rows: int | None = None) -> int:
     """Write evenly sized parts, about 200,000 rows each and at least ten.
 
-    Without a known row count the rows are written out once and counted there.  Costs a full
-    shuffle; `write_csv(rows_per_file=...)` does not.
+    Without a known row count `df` is counted first, which for a table reads no columns.  Costs
+    a full shuffle; `write_csv`, with or without `rows_per_file`, does not.
     """
-    if rows is None:
-        df = materialise(df, "to-size")
-        rows = df.count()
-    parts = optimal_partitions(rows)
+    parts = optimal_partitions(df.count() if rows is None else rows)
     write_csv(df.repartition(parts), path)
     return parts
 
 
-def write_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Write exactly one part file, for small tables.
-
-    The table is computed in parallel and counted before one task copies it; a larger one is
-    refused rather than cut.
-    """
-    small = materialise(df, "to-single")
-    rows = small.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for a single file (limit {max_rows})")
-    write_csv(small.repartition(1), path)
+def _content(df: DataFrame) -> list[Column]:
+    """Row count, and a sum over hashes of the rows, which does not depend on their order."""
+    places = F.xxhash64(*[F.coalesce(F.col(name).cast("string"), F.lit(_NULL)) for name in df.columns])
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.pmod(places, F.lit(1 << 31))).alias("hashes")]
 
 
 def write_verified(
     df: DataFrame, path: str, compression: str | None = None, rows_per_file: int | None = None
-) -> dict:
-    """Write, then check the success marker and that every row arrived.
+) -> dict[str, int]:
+    """Write, then check the success marker and that every row arrived with its values.
 
-    The rows are counted by the write itself and again in the files read back; a difference
-    raises.  Returns the row count and the part files.
+    Rows and a sum of their hashes are taken by the write itself and again from the files, all of
+    which are read back; a difference raises.  Returns the numbers of rows and files.
     """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_csv(counted, path, compression, rows_per_file)
-
+    write_csv(df.observe(seen, *_content(df)), path, compression, rows_per_file)
     spark = df.sparkSession
-    files = list_names(spark, f"{path}/*")
-    if "_SUCCESS" not in files:
+    if not exists(spark, f"{path}/_SUCCESS"):
         raise LoadVerificationError(f"no success marker in {path}")
-    written = seen.get["rows"]
     # The schema is given, since inferring the names would fail on an output without files.
-    found = spark.read.schema(df.schema).csv(path, header=True).count()
-    if found != written:
-        raise LoadVerificationError(f"{written} rows written to {path}, {found} found")
-    return {"rows": written, "files": [name for name in files if name.startswith("part-")]}
+    found = read_written(spark, df.schema).csv(path)
+    again = found.select(*df.columns, "_metadata.file_path").agg(
+        *_content(df), F.count_distinct("file_path").alias("files")
+    ).first()
+    written = observed(seen)
+    if (again.rows, again.hashes or 0) != (written.get("rows", 0), written.get("hashes", 0)):
+        raise LoadVerificationError(
+            f"{written.get('rows', 0)} rows written to {path}, {again.rows} found, or with other values"
+        )
+    return {"rows": again.rows, "files": again.files}
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """A written feature table, typed."""
-    return spark.read.schema(FEATURE_SCHEMA).csv(path, header=True)
+    return read_written(spark, FEATURE_SCHEMA).csv(path)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.functions import parse_event_time, utc_wall_clock
-from sessionloom.schema import EVENT_SCHEMA, EVENT_TIME, RAW_SCHEMA
+from sessionloom.schema import EVENT_SCHEMA, EVENT_TIME, RAW_SCHEMA, SESSION, USER
+
+BROKEN = "_broken_record"
 
 
 def read_strings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -19,6 +21,18 @@ def read_strings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def read_checked(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """`read_strings` with a column that holds a record's text if it has too few or too many
+    fields, and is null otherwise."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(BROKEN, T.StringType())])
+    return (
+        spark.read.schema(schema)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", BROKEN)
+        .csv(paths, header=True)
+    )
+
+
 def read_inferred(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Types inferred by Spark, which costs a second pass over the files."""
     return spark.read.csv(paths, header=True, inferSchema=True)
@@ -61,11 +75,20 @@ def rejected(raw: DataFrame) -> DataFrame:
     return raw.where(unparsable())
 
 
-def cap_rows(events: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """Debug mode: an arbitrary subset of at most `rows` events."""
-    return events.limit(rows)
+def in_sample(fraction: float) -> Column:
+    """Whether an event belongs to a sample of about that share of the sessions.
+
+    Decided by a hash of the session, so a session is in it as a whole, in every run.  Events
+    without a session are drawn by their user.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"a sample takes a share between 0 and 1, not {fraction}")
+    drawn = F.substring(F.md5(F.coalesce(F.col(SESSION), F.col(USER), F.lit(""))), 1, 8)
+    # Compared as numbers of eight hexadecimal digits; "g" comes after all of them.
+    below = F.lit(f"{int(fraction * 16**8):08x}" if fraction < 1 else "g")
+    return drawn < below
 
 
-def sample_fraction(events: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """Debug mode: a spread-out share of the events."""
-    return events.sample(fraction=fraction, seed=seed)
+def sample_sessions(events: DataFrame, fraction: float) -> DataFrame:
+    """Debug mode: a share of the sessions, each with all its events."""
+    return events.where(in_sample(fraction))

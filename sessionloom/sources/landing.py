@@ -7,10 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.schema import EVENT_DATE, EVENT_TIME, LANDED_SCHEMA, MONTH
-from sessionloom.session import touch
+from sessionloom.schema import EVENT_DATE, EVENT_TIME, LANDED_SCHEMA, MONTH, RAW_COLUMNS
+from sessionloom.session import observed, touch
 
-from .events import read_strings, typed_columns, unparsable
+from .events import BROKEN, read_checked, typed_columns
 from .months import (
     listed_months, missing_months, month_frame, month_names, months_in_range, require_months,
 )
@@ -19,6 +19,11 @@ _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
 
 # Spark's readers skip folders with a leading underscore.
 _MARKERS = "_landed"
+_REJECTS = "_rejects"
+
+
+class TooManyBrokenError(ValueError):
+    """A larger share of the raw records than tolerated has too few or too many fields."""
 
 
 def landed_months(spark: SparkSession, zone_dir: str) -> list[str]:
@@ -26,7 +31,8 @@ def landed_months(spark: SparkSession, zone_dir: str) -> list[str]:
 
 
 def land_pending(
-    spark: SparkSession, raw_dir: str, zone_dir: str, start: str | datetime, end: str | datetime
+    spark: SparkSession, raw_dir: str, zone_dir: str, start: str | datetime, end: str | datetime,
+    tolerated: float = 0.01,
 ) -> dict:
     """Bring the months of the range that are not landed yet into `zone_dir`.
 
@@ -38,21 +44,36 @@ def land_pending(
     Each task writes the month of the file split it reads, so nothing is shuffled.  A month
     counts as landed once its marker is there, which is set after the whole write; a run that
     broke off lands the month again, replacing what it had written.
+
+    A record with too few or too many fields, such as one half of a text with a line break, is no
+    event.  Such records go to the folder `_rejects` of the zone, by month, as JSON with their
+    text and what could be read of it; if they are
+    more than the share `tolerated`, this raises and no month counts as landed.  A time or price
+    that does not parse becomes null.  Reported: months, rows, of these `rejected` (with such a
+    time or price), and `broken` records.
     """
     required = months_in_range(spark, start, end)
     landed = month_frame(spark, landed_months(spark, zone_dir))
     names = month_names(missing_months(required, landed))
     if not names:
-        return {"months": [], "rows": 0, "rejected": 0}
+        return {"months": [], "rows": 0, "rejected": 0, "broken": 0}
     require_months(names, listed_months(spark, f"{raw_dir}/*.csv"))
 
-    raw = read_strings(spark, [f"{raw_dir}/{name}.csv" for name in names])
+    raw = read_checked(spark, [f"{raw_dir}/{name}.csv" for name in names])
     month = F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_PATH, 1)
+    given = F.struct(F.col(EVENT_TIME).isNotNull().alias("time"), F.col("price").isNotNull().alias("price"))
+    whole = F.col(BROKEN).isNull()
+    unparsed = (F.col("_given.time") & F.col(EVENT_TIME).isNull()) | (
+        F.col("_given.price") & F.col("price").isNull()
+    )
     seen = Observation()
     events = (
-        raw.select("*", month.alias(MONTH))
-        .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(unparsable()).alias("rejected"))
-        .select(*typed_columns(raw), MONTH)
+        raw.select(*typed_columns(raw.select(RAW_COLUMNS)), month.alias(MONTH), given.alias("_given"), BROKEN)
+        .observe(
+            seen, F.count_if(whole).alias("rows"), F.count_if(whole & unparsed).alias("rejected"),
+            F.count_if(~whole).alias("broken"),
+        )
+        .where(whole).drop("_given", BROKEN)
         .withColumn(EVENT_DATE, F.col(EVENT_TIME).cast("date"))
         .sortWithinPartitions(MONTH, EVENT_TIME)
     )
@@ -62,9 +83,17 @@ def land_pending(
         .partitionBy(MONTH)
         .parquet(zone_dir)
     )
+    report = {"rows": 0, "rejected": 0, "broken": 0} | observed(seen)
+    if report["broken"]:
+        broken = raw.select("*", month.alias(MONTH)).where(~whole)
+        broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).json(
+            f"{zone_dir}/{_REJECTS}"
+        )
+        if report["broken"] > tolerated * (report["rows"] + report["broken"]):
+            raise TooManyBrokenError(f"{report['broken']} of the raw records are broken")
     for name in names:
         touch(spark, f"{zone_dir}/{_MARKERS}/{name}")
-    return {"months": names, **seen.get}
+    return {"months": names, **report}
 
 
 def read_landed(

@@ -26,7 +26,7 @@ def parse_bound(bound: str | datetime | None) -> datetime | None:
     try:
         return datetime.strptime(bound.removesuffix(" UTC"), BOUND_FORMAT)
     except ValueError as error:
-        raise ValueError(f"Invalid date format: {error}") from error
+        raise ValueError(f"the date bound {bound!r} is not spelled YYYY-MM-DD HH:MM:SS") from error
 
 
 def check_range(start: str | datetime, end: str | datetime) -> tuple[datetime, datetime]:

@@ -2,12 +2,14 @@
 
 import os
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from shop import at, expected_features, frame, random_events, rows_of
 
 from sessionloom.plans import MinimalConfig, RunConfig, etl_cloud_min, etl_run
-from sessionloom.plans.etl import cached_when_small, main
+from sessionloom.operators import clean_sessions, date_range, features_product, step_counts, views
+from sessionloom.plans.etl import computed_once, first_views, main
 from sessionloom.session import materialise, shared_dir
 from sessionloom.sinks import read_features, write_csv
 from sessionloom.sources import MissingMonthsError
@@ -41,7 +43,7 @@ def test_run(spark, events, raw, tmp_path, landed):
     for run in range(2):
         report = etl_run(spark, config)
         assert report["landed"]["months"] == ([] if landed and run else ["2019-Oct"])
-        assert report["rows"] == len(expected) and len(report["files"]) >= len(expected) // 20
+        assert report["rows"] == len(expected) and report["files"] >= len(expected) // 20
         assert rows_of(read_features(spark, config.destination)) == expected
 
 
@@ -59,46 +61,74 @@ def test_exit_codes(spark, raw, tmp_path):
 
 
 def test_a_finished_job_leaves_no_intermediate_tables(spark, raw, tmp_path):
-    shared = shared_dir(spark).removeprefix("file:")
+    own = f"{shared_dir(spark).removeprefix('file:')}/sessionloom/{spark.sparkContext.applicationId}"
     kept = materialise(spark.range(3), "kept")
-    assert os.listdir(f"{shared}/sessionloom")
+    assert os.listdir(own)
     main(["--raw-dir", raw, "--destination", f"{tmp_path}/out", "--date-start", START, "--date-end", END])
-    assert not os.path.exists(f"{shared}/sessionloom")
+    assert not os.path.exists(own)
     assert materialise(spark.range(3), "again").count() == 3
     with pytest.raises(Exception):
         kept.collect()
 
 
-def test_sample_rows(spark, raw, tmp_path):
-    config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out", sample_rows=0)
-    assert etl_run(spark, config)["rows"] == 0
-    assert 0 < etl_run(spark, replace(config, sample_rows=20))["rows"] <= 20
+@pytest.mark.parametrize("settings, set_folder, expected", [
+    ({"spark.checkpoint.dir": "s3://a/b/", "spark.sql.warehouse.dir": "w"}, "c", "s3://a/b"),
+    ({"spark.sql.warehouse.dir": "file:/w/"}, "hdfs:/c", "hdfs:/c"),
+    ({"spark.sql.warehouse.dir": "file:/w/"}, None, "file:/w"),
+])
+def test_the_folder_needs_no_setting(settings, set_folder, expected):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: set_folder),
+    )
+    assert shared_dir(session) == expected
 
 
-def test_minimal_run(spark, events, raw, tmp_path):
-    config = MinimalConfig(raw_path=f"{raw}/2019-Oct.csv", destination=f"{tmp_path}/out", rows=30)
-    etl_cloud_min(spark, config)
-    written = spark.read.csv(config.destination, header=True)
-    assert written.columns == ["event_time", "brand", "price", "user_id"] and written.count() == 30
+def test_counts_of_a_run(spark, events, raw, tmp_path):
+    config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out")
+    counts = etl_run(spark, config)["counts"]
+    loaded = frame(spark, events)
+    cleaned = clean_sessions(loaded)
+    in_range = date_range(cleaned, START, END).where("user_session is not null")
+    assert (counts["loaded"], counts["cleaned"]) == (loaded.count(), cleaned.count())
+    assert counts["in_range"] == in_range.count() >= counts["visits"] > 0
+    found = {r.step: r.row_count for r in step_counts(loaded, START, END).collect()}
+    kept = date_range(cleaned, START, END)
+    assert found == {
+        "extraction": loaded.count(), "cleaning": cleaned.count(), "date filters": kept.count(),
+        "features per product": features_product(kept).count(),
+    }
 
 
-@pytest.mark.parametrize("policy, rows, cached", [
-    ("auto", 10**6, True), ("auto", 5, False), ("always", 0, True), ("never", 10**6, False)
-])
-def test_cache_policy(spark, policy, rows, cached):
-    df = spark.range(10)
-    with cached_when_small(df, policy, max_rows=rows) as kept:
-        assert kept.is_cached == cached and kept.count() == 10
-    assert not df.is_cached
+def test_a_sampled_run(spark, raw, tmp_path):
+    config = RunConfig(raw_dir=raw, start=START, end=END, destination=f"{tmp_path}/out")
+    every = etl_run(spark, config)["rows"]
+    assert etl_run(spark, replace(config, sample=0.0))["rows"] == 0
+    assert 0 < etl_run(spark, replace(config, sample=0.5))["rows"] < every
+
+
+def test_options(spark, raw, tmp_path):
+    arguments = ["--raw-dir", raw, "--destination", f"{tmp_path}/out", "--date-start", START, "--date-end", END]
+    assert main([*arguments, "--compression", "gzip", "--rows-per-file", "5", "--heavy-limit", "3"]) == 0
+    files = [name for name in os.listdir(f"{tmp_path}/out") if name.startswith("part-")]
+    assert len(files) > 1 and all(name.endswith(".csv.gz") for name in files)
+
+
+def test_minimal_run(spark, events, raw, tmp_path):
+    config = MinimalConfig(raw_path=f"{raw}/2019-Oct.csv", destination=f"{tmp_path}/out")
+    report = etl_cloud_min(spark, config)
+    written = spark.read.csv(config.destination, header=True)
+    assert written.columns == ["event_time", "brand", "price", "user_id"]
+    assert written.count() == report["rows"] == views(frame(spark, events)).count()
 
 
-def test_cache_decides_on_the_raw_rows(spark):
-    few = spark.range(100).where("id < 2")
-    with cached_when_small(few, raw=spark.range(100), max_rows=50) as kept:
-        assert not kept.is_cached
+def test_first_views(spark, events):
+    first = first_views(frame(spark, events), 30, ["event_time", "brand", "price", "user_id"]).collect()
+    times = [r.event_time for r in first if r.event_time]
+    assert len(first) == 30 and times == sorted(times)
 
 
-def test_unknown_cache_policy(spark):
-    with pytest.raises(ValueError):
-        with cached_when_small(spark.range(1), "sometimes"):
-            pass
+def test_computed_once(spark):
+    df = spark.range(10).withColumn("x", F.rand())
+    kept = computed_once(df, reused=True)
+    assert kept.collect() == kept.collect() and computed_once(df, reused=False) is df

@@ -5,8 +5,10 @@ from datetime import datetime
 import pytest
 from shop import at, event, expected_features, frame, random_events, rows_of
 
-from sessionloom.operators import date_range, clean_sessions
-from sessionloom.operators.features import composed_features
+from sessionloom.operators import (
+    clean_sessions, date_range, features_product, features_session, features_session_product,
+)
+from sessionloom.operators.features import composed_features, visits
 from sessionloom.operators.history import running_total
 from sessionloom.plans import feature_table
 from sessionloom.schema import FEATURE_COLUMNS, FEATURE_SCHEMA
@@ -71,8 +73,18 @@ def test_composition_of_operators_gives_the_same_rows(spark):
     events = random_events(5)
     bounds = at("00:10:00"), at("00:40:00", 3)
     kept = date_range(clean_sessions(frame(spark, events)), *bounds).where("user_session is not null")
-    composed = composed_features(kept, running_total).select(FEATURE_COLUMNS)
+    composed = composed_features(visits(kept), running_total).select(FEATURE_COLUMNS)
     assert rows_of(composed) == expected_features(events, *bounds)
+    steps = features_session_product(features_product(kept), features_session(kept)).select(FEATURE_COLUMNS)
+    assert rows_of(steps) == expected_features(events, *bounds)
+
+
+@pytest.mark.parametrize("limit", [0, 5])
+def test_steps_with_heavy_groups(spark, limit):
+    events = random_events(8)
+    kept = clean_sessions(frame(spark, events)).where("user_session is not null")
+    steps = features_session_product(features_product(kept), features_session(kept, limit), limit)
+    assert rows_of(steps.select(FEATURE_COLUMNS)) == expected_features(events)
 
 
 def test_result_does_not_depend_on_partitioning(spark):

@@ -6,6 +6,8 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sessionloom.checks.oracle import ORACLES
+from sessionloom.checks.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -37,20 +39,22 @@ def comparable(frame):
     )
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    found = queries()[name](spark, FOLDER).toPandas()
-    if name not in oracle_sql():
-        assert len(found) > 0
-        return
-    expected = database.execute(oracle_sql()[name]).fetchdf()
+    found = QUERIES[name](spark, FOLDER).toPandas()
+    expected = database.execute(ORACLES[name]).fetchdf()
     assert sorted(found.columns) == sorted(expected.columns)
     assert comparable(found) == comparable(expected)
 
 
 def test_every_oracle_has_a_query():
-    assert set(queries()) - set(oracle_sql()) == {"prof_approx_distinct"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
+
+
+def test_sorted_rows_come_in_order(spark):
+    rows = [tuple(row) for row in QUERIES["srt_sort"](spark, FOLDER).collect()]
+    assert rows and [r[0] for r in rows] == sorted(r[0] for r in rows)
 
 
 def test_entry(spark):

@@ -8,7 +8,9 @@ from shop import at, frame, random_events
 from pyspark.sql import functions as F
 
 from sessionloom import operators as op
-from sessionloom.plans import feature_table
+from sessionloom import session
+from sessionloom.operators import clean, features, history, profile
+from sessionloom.plans import feature_table, table
 from sessionloom.sinks import write_csv
 from sessionloom.sources import land_pending, read_landed
 
@@ -28,12 +30,64 @@ def shuffles(plan):
     return re.findall(r" Exchange (\w+)\(", plan)
 
 
+def inputs_of(run):
+    """Paths of the scans of each job that `run` starts, by the plans of what it writes."""
+    plans, write = [], session.materialise
+
+    def listening(df, label):
+        plans.append((label, plan_of(df)))
+        return write(df, label)
+
+    modules = (clean, features, history, profile, table)
+    for module in modules:
+        module.materialise = listening
+    try:
+        plans.append(("result", plan_of(run())))
+    finally:
+        for module in modules:
+            module.materialise = write
+    return plans
+
+
+def scans_of(plans, path):
+    path = path.removeprefix("file:").lstrip("/")
+    return [label for label, plan in plans for _ in re.findall(rf"FileScan.*{re.escape(path)}", plan)]
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_feature_table_reads_events_twice(spark, landed, limit):
+    """For the list of sessions and for the visits, with heavy users and without."""
+    plans = inputs_of(lambda: feature_table(landed, at("00:10:00"), at("00:50:00", 3), limit))
+    path = landed.inputFiles()[0].rsplit("/", 1)[0]
+    assert scans_of(plans, path) == ["shared-sessions", "visits"]
+
+
 def test_feature_table_shuffles_twice(spark, landed):
-    """Once for the aggregation and once by user; no join besides the filter by session list."""
-    plan = plan_of(feature_table(landed, at("00:10:00"), at("00:50:00", 3)))
-    assert shuffles(plan) == ["hashpartitioning", "hashpartitioning"]
-    assert re.findall(r"(\w+Join) ", plan) == ["BroadcastHashJoin"]
-    assert "SortAggregate" not in plan and "Python" not in plan
+    """Once for the visits and once by user; no join besides the filter by session list."""
+    plans = dict(inputs_of(lambda: feature_table(landed, at("00:10:00"), at("00:50:00", 3))))
+    assert shuffles(plans["visits"]) == shuffles(plans["result"]) == ["hashpartitioning"]
+    assert re.findall(r"(\w+Join) ", plans["visits"]) == ["BroadcastHashJoin"]
+    assert "Join" not in plans["result"]
+    assert not any("SortAggregate" in plan or "Python" in plan for plan in plans.values())
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_session_steps_read_events_once(spark, landed, limit):
+    path = landed.inputFiles()[0].rsplit("/", 1)[0]
+    plans = inputs_of(lambda: op.features_session(landed, limit))
+    assert scans_of(plans, path) == ["session-spans"]
+
+
+def test_product_step_writes_nothing_without_heavy_groups(spark, landed):
+    products, sessions = op.features_product(landed), op.features_session(landed)
+    plans = inputs_of(lambda: op.features_session_product(products, sessions))
+    assert [label for label, _ in plans] == ["heavy-keys", "result"]
+
+
+def test_counts_of_steps_read_events_twice(spark, landed):
+    path = landed.inputFiles()[0].rsplit("/", 1)[0]
+    plans = inputs_of(lambda: op.step_counts(landed, at("00:10:00")))
+    assert scans_of(plans, path) == ["shared-sessions", "result"]
 
 
 def scan_of(plan):
@@ -41,7 +95,8 @@ def scan_of(plan):
 
 
 def test_feature_table_scan(spark, landed):
-    scan = scan_of(plan_of(feature_table(landed, at("00:10:00"), at("00:50:00", 3))))
+    plans = dict(inputs_of(lambda: feature_table(landed, at("00:10:00"), at("00:50:00", 3))))
+    scan = scan_of(plans["visits"])
     assert "category_id" not in scan
     pushed = re.search(r"PushedFilters: \[(.*?)\]", scan).group(1)
     assert "GreaterThanOrEqual(event_time" in pushed and "LessThanOrEqual(event_time" in pushed
@@ -55,7 +110,7 @@ def test_landed_events_are_pruned_by_month_and_day(spark, tmp_path):
     bounds = "2019-10-02 00:00:00", "2019-10-02 12:00:00"
     land_pending(spark, raw, zone, *bounds)
     events = read_landed(spark, zone, *bounds)
-    scan = scan_of(plan_of(feature_table(events, *bounds)))
+    scan = scan_of(dict(inputs_of(lambda: feature_table(events, *bounds)))["visits"])
     assert "month" in re.search(r"PartitionFilters: \[(.*?)\], Pushed", scan).group(1)
     pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", scan).group(1)
     assert "GreaterThanOrEqual(event_date,2019-10-02)" in pushed

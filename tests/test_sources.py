@@ -109,13 +109,13 @@ def test_landing_is_incremental_and_repeatable(spark, tmp_path):
     with pytest.raises(sources.MissingMonthsError):
         sources.land_pending(spark, str(raw), zone, *span)
     first = sources.land_pending(spark, str(raw), zone, span[0], span[0])
-    assert first == {"months": ["2019-Oct"], "rows": 2, "rejected": 1}
+    assert first == {"months": ["2019-Oct"], "rows": 2, "rejected": 1, "broken": 0}
     with pytest.raises(sources.MissingMonthsError):
         sources.read_landed(spark, zone, *span)
 
     write(raw, "2019-Nov.csv", line("2019-11-01 01:00:00 UTC", "s3"))
     second = sources.land_pending(spark, str(raw), zone, *span)
-    assert second == {"months": ["2019-Nov"], "rows": 1, "rejected": 0}
+    assert second == {"months": ["2019-Nov"], "rows": 1, "rejected": 0, "broken": 0}
     assert sources.land_pending(spark, str(raw), zone, *span)["months"] == []
     landed = sources.read_landed(spark, zone, *span)
     assert sorted(row["user_session"] for row in landed.collect()) == ["s1", "s2", "s3"]
@@ -134,7 +134,31 @@ def test_a_landing_that_broke_off_is_repeated(spark, tmp_path):
     assert sources.read_landed(spark, str(zone), *span).count() == 2
 
 
-def test_samples(spark):
-    events = spark.range(1000)
-    assert sources.cap_rows(events, 10).count() == 10
-    assert 0 < sources.sample_fraction(events, 0.1, seed=3).count() < 300
+def test_broken_records_are_no_events(spark, tmp_path):
+    raw, zone = tmp_path / "raw", tmp_path / "zone"
+    good = [line(f"2019-10-01 00:00:{second:02}", f"s{second}") for second in range(20)]
+    broken = [line("2019-10-01 00:01:00", brand='"two\nlines"'), "2019-10-01 00:02:00,view", good[0] + ",more"]
+    write(raw, "2019-Oct.csv", *good, *broken)
+    span = ("2019-10-01 00:00:00", "2019-10-02 00:00:00")
+    with pytest.raises(sources.TooManyBrokenError):
+        sources.land_pending(spark, str(raw), str(zone), *span)
+    assert sources.landed_months(spark, str(zone)) == []
+    report = sources.land_pending(spark, str(raw), str(zone), *span, tolerated=0.5)
+    assert report == {"months": ["2019-Oct"], "rows": 20, "rejected": 0, "broken": 4}
+    landed = sources.read_landed(spark, str(zone), *span).collect()
+    assert sorted(row["user_session"] for row in landed) == sorted(f"s{second}" for second in range(20))
+    assert spark.read.json(f"{zone}/_rejects/month=2019-Oct").count() == 4
+
+
+def test_a_sample_keeps_whole_sessions(spark):
+    rows = [(f"s{i % 200}" if i % 7 else None, f"u{i % 50}", i) for i in range(2000)]
+    events = spark.createDataFrame(rows, "user_session string, user_id string, n int")
+    kept = {(r.user_session, r.n) for r in sources.sample_sessions(events, 0.3).collect()}
+    sessions = {session for session, _ in kept if session}
+    assert 30 < len(sessions) < 90
+    assert {n for s, n in kept if s} == {n for s, _, n in rows if s in sessions}
+    assert 0 < sum(s is None for s, _ in kept) < 286
+    assert sources.sample_sessions(events, 1).count() == 2000
+    assert sources.sample_sessions(events, 0).count() == 0
+    with pytest.raises(ValueError):
+        sources.in_sample(1.5)
