@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -48,15 +49,29 @@ def drop_tables(spark: SparkSession) -> None:
     files.delete(path, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables of `materialise` that nothing needs any more, and shuffle files behind them.
+
+    Spark removes shuffle files when the driver collects its garbage, which may be late.
+    """
+    for table in tables:
+        files, folder = _file_system(spark, table.written_to)
+        files.delete(folder, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst the true size of the table,
     so its broadcast threshold decides joins on what was measured.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
 
 
 def observed(seen: Observation) -> dict[str, int]:
