@@ -154,5 +154,12 @@ def quality_rules(
 def keep_good(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """The documents that pass all rules, with all their columns."""
     judged = measured(docs, text)
-    failed = failures([*BASE, *rules], F.col(f"`{judged.columns[-1]}`"))
-    return judged.where(~failed).select(*[F.col(f"`{x}`") for x in docs.columns])
+    failed, at = unused("_failed", docs.columns), unused("_at", docs.columns)
+    # Spark would move a filter below the projections and compute each measure anew for each
+    # rule; it leaves one where it is that asks for a number given to rows as they come.
+    return (
+        judged.withColumn(failed, failures([*BASE, *rules], F.col(f"`{judged.columns[-1]}`")))
+        .withColumn(at, F.monotonically_increasing_id())
+        .where(~F.col(failed) & (F.col(at) >= 0))
+        .select(*[F.col(f"`{x}`") for x in docs.columns])
+    )
