@@ -10,6 +10,7 @@ one is smaller, and only equal ones are compared, from there on.
 from __future__ import annotations
 
 import struct
+import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise
+from sessionloom.session import materialise, release
 
 # A task sorts so many strings at a time, and a range holds about so many.
 RUN_RECORDS = 200_000
@@ -29,13 +30,12 @@ CUT_BYTES = 24
 # Where a string is: whether the document has no id, its id (0 then), a hash of its text, and the
 # string's start.  Places are compared as tuples.
 Place = tuple[bool, int, int, int]
-# A string, its place, and a hash that is passed along.
-Record = tuple[bytes, Place, int]
+Record = tuple[bytes, Place]
 
 DOC = ["no_id", "doc_id", "text_hash"]
 PLACE = "no_id boolean, doc_id long, text_hash long, start long"
-# Packed around the rest of a string: lengths of shared prefix and rest, and place and mark.
-_HEAD, _TAIL = "<II", "<?qqqq"
+# Packed around the rest of a string: lengths of shared prefix and rest, and the place.
+_HEAD, _TAIL = "<II", "<?qqq"
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -53,40 +53,41 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 
 
 def front_code(records: list[Record]) -> bytes:
-    """A sorted run, packed: length of the prefix shared with the string before, rest, place, mark."""
+    """A sorted run, packed: length of the prefix shared with the string before, rest, place."""
     packed, last = [], b""
-    for string, place, mark in records:
+    for string, place in records:
         shared = common_prefix(last, string)
         packed += [
             struct.pack(_HEAD, shared, len(string) - shared), string[shared:],
-            struct.pack(_TAIL, *place, mark),
+            struct.pack(_TAIL, *place),
         ]
         last = string
-    return b"".join(packed)
+    return zlib.compress(b"".join(packed), 1)
 
 
-def run_records(packed: bytes) -> Iterator[tuple[int, bytes, Place, int]]:
+def run_records(packed: bytes) -> Iterator[tuple[int, bytes, Place]]:
     """The records of a front-coded run, each with the length of its shared prefix."""
+    packed = zlib.decompress(packed)
     at, last = 0, b""
     while at < len(packed):
         shared, rest = struct.unpack_from(_HEAD, packed, at)
         at += struct.calcsize(_HEAD)
         last = last[:shared] + packed[at:at + rest]
         at += rest
-        *place, mark = struct.unpack_from(_TAIL, packed, at)
+        place = struct.unpack_from(_TAIL, packed, at)
         at += struct.calcsize(_TAIL)
-        yield shared, last, tuple(place), mark
+        yield shared, last, place
 
 
 class LoserTree:
     """Merges sorted runs; yields records with the prefix length shared with the one before."""
 
-    def __init__(self, runs: list[Iterator[tuple[int, bytes, Place, int]]]):
+    def __init__(self, runs: list[Iterator[tuple[int, bytes, Place]]]):
         self.runs = runs
         self.size = 1
         while self.size < max(2, len(runs)):
             self.size *= 2
-        # Contender: prefix length shared with the last winner it met, string, place, mark, run.
+        # Contender: prefix length shared with the last winner it met, string, place, run.
         self.losers: list[tuple | None] = [None] * self.size
         self.winner = self._build(1)
 
@@ -119,10 +120,10 @@ class LoserTree:
             return a, (shared, *b[1:])
         return b, (shared, *a[1:])
 
-    def __iter__(self) -> Iterator[tuple[int, bytes, Place, int]]:
+    def __iter__(self) -> Iterator[tuple[int, bytes, Place]]:
         while self.winner is not None:
-            yield self.winner[:4]
-            run = self.winner[4]
+            yield self.winner[:3]
+            run = self.winner[3]
             contender = self._pull(run)  # its prefix refers to the winner, as the losers' do
             node = (self.size + run) // 2
             while node:
@@ -162,13 +163,13 @@ def cut_strings(strings: DataFrame, count: int) -> list[bytes]:
 
 def first_places(
     rows: DataFrame, make: Callable[[pa.RecordBatch], Iterator[Record]], cuts: list[bytes],
-    keep_strings: bool,
+    mark: Callable[[bytes], int] | None = None,
 ) -> DataFrame:
     """Places of strings, and whether an equal string has a smaller place.
 
     `make` turns batches of `rows` into records.  A task reduces equal strings to the first before
     they are exchanged, so a string that is everywhere is one record per run.  Result: PLACE, size
-    of the string, again, mark, and the string itself where it is first if `keep_strings`.  A
+    of the string and again; where a string is first and `mark` is given, its mark and itself.  A
     place that occurs twice with one string counts once.
     """
     names = ["part", "run", *DOC, "start", "size"]
@@ -199,18 +200,20 @@ def first_places(
                     records = []
         yield sorted_run(records)
 
-    sent = materialise(rows.mapInArrow(sort, f"part int, run binary, {PLACE}, size int"), "sorted-runs")
+    shape = f"part int, run binary, {PLACE}, size int"
+    sent = materialise(rows.mapInArrow(sort, shape), "sorted-runs", "zstd")
     found_names = [*names[2:], "again", "mark", "string"]
     found_types = [*types[2:], pa.bool_(), pa.int64(), pa.binary()]
 
     def merge(group: pa.Table) -> pa.Table:
         found, last, place = [], None, None
-        for shared, string, at, mark in LoserTree([run_records(run.as_py()) for run in group.column("run")]):
-            same = last is not None and shared == len(string) == len(last)
-            if not same:
+        for shared, string, at in LoserTree([run_records(run.as_py()) for run in group.column("run")]):
+            if last is None or shared != len(string) or shared != len(last):
                 last, place = string, at
-            if not same or at != place:
-                found.append((*at, len(string), same, mark, string if keep_strings and not same else None))
+                own = (mark(string), string) if mark else (None, None)
+                found.append((*at, len(string), False, *own))
+            elif at != place:
+                found.append((*at, len(string), True, None, None))
         return table(pa.table, found, found_names, found_types)
 
     merged = (
@@ -221,4 +224,6 @@ def first_places(
         *DOC, "start", "size", F.lit(True).alias("again"), F.lit(None).cast("long").alias("mark"),
         F.lit(None).cast("binary").alias("string"),
     )
-    return materialise(merged.unionByName(local), "string-places")
+    places = materialise(merged.unionByName(local), "string-places", "zstd")
+    release(rows.sparkSession, sent)
+    return places

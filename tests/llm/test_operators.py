@@ -383,7 +383,8 @@ def test_suffix_dedup_of_few_letters(spark, monkeypatch, seed):
     import random
 
     monkeypatch.setattr(sorted_runs, "PART_RECORDS", 300)
-    monkeypatch.setattr(sorted_runs, "SAMPLED", 30)
+    monkeypatch.setattr(suffix_dedup, "GROUP_STRETCHES", 1 + 3 * (seed % 2))
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 1000)
     draw = random.Random(seed)
     base = "".join(draw.choice("abc ") for _ in range(2000))
     texts = []
@@ -416,9 +417,9 @@ def test_loser_tree():
     runs = []
     for run in range(7):
         strings = sorted({bytes(draw.choices(b"ab", k=draw.randrange(1, 9))) for _ in range(run * 9)})
-        runs.append([(s, (False, draw.randrange(50), 0, 0), run) for s in strings])
+        runs.append([(s, (False, draw.randrange(50), 0, 0)) for s in strings])
     merged = list(sorted_runs.LoserTree([sorted_runs.run_records(sorted_runs.front_code(r)) for r in runs]))
-    assert [m[1:3] for m in merged] == sorted((r[0], r[1]) for run in runs for r in run)
+    assert [m[1:] for m in merged] == sorted(r for run in runs for r in run)
     for before, after in zip(merged, merged[1:]):
         assert after[0] == sorted_runs.common_prefix(before[1], after[1])
 
