@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.session import materialise, new_path
 
-from .rows import SPACES, numbered, unused, whole
+from .rows import SPACES, chosen, numbered, row_key, whole
 
 
 def normalised(text: Column) -> Column:
@@ -120,15 +120,9 @@ def keep_first(
     docs: DataFrame, index: DigestIndex | None = None, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The documents that stay, with all their columns; one of each set of equal texts."""
-    row, digest = unused("_row", docs.columns), unused("_digest", docs.columns)
-    copy = numbered(
-        docs.withColumn(digest, F.unhex(F.sha2(normalised(F.col(text)), 256))), row, "to-dedup"
-    )
-    decisions = decide(
-        copy.select(
-            F.col(row).alias("_row"), F.col(id).alias("_id"), F.col(digest).alias("digest")
-        ),
-        index or DigestIndex(docs.sparkSession),
-    )
-    stay = materialise(decisions.where("kept").select(F.col("_row").alias(row)), "kept-rows")
-    return copy.join(stay, row, "left_semi").select(docs.columns)
+    key = row_key(F.col(id), F.col(text))
+    digest = F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("digest")
+    rows = numbered(docs.select(key.alias("_key"), F.col(id).alias("_id"), digest), "_row", "digests")
+    kept = decide(rows.drop("_key"), index or DigestIndex(docs.sparkSession)).where("kept")
+    stay = materialise(rows.join(kept.select("_row"), "_row", "left_semi").select("_key"), "kept-rows")
+    return chosen(docs, key, stay, rows).select(docs.columns)

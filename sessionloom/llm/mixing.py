@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.session import materialise
 
-from .rows import numbered, unused, words
+from .rows import chosen, numbered, row_key, unused, words
 
 MOST_PASSES = 3
 # Words are added up in hash buckets of about so many documents of the largest source.
@@ -165,15 +165,11 @@ def mixture(
     schedules=ranked_schedules,
 ) -> DataFrame:
     """The documents in training order, as often as the mix takes them, with all their columns."""
-    row, at = unused("_row", docs.columns), unused("_at", docs.columns)
-    copy = numbered(docs, row, "to-mix")
-    rows = copy.select(
-        F.col(row).alias("_row"), F.col(id).alias("_id"), F.col(source).alias("source"),
-        F.size(words(F.col(text))).cast("long").alias("size"),
-    )
-    uses = materialise(
-        _placed(materialise(rows, "sizes"), schedules)
-        .select(F.col("_row").alias(row), F.explode("positions").alias(at)),
-        "uses",
-    )
-    return copy.join(uses, row).orderBy(at, row).select(docs.columns)
+    key = row_key(F.col(id), F.col(text), F.col(source))
+    size = F.size(words(F.col(text))).cast("long").alias("size")
+    rows = docs.select(key.alias("_key"), F.col(id).alias("_id"), F.col(source).alias("source"), size)
+    rows = numbered(rows, "_row", "sizes")
+    at = unused("_at", docs.columns)
+    uses = _placed(rows.drop("_key"), schedules).select("_row", F.explode("positions").alias(at))
+    uses = materialise(rows.join(uses, "_row").select("_key", at), "uses")
+    return chosen(docs, key, uses, rows).orderBy(at, id).select(docs.columns)

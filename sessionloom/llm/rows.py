@@ -45,6 +45,36 @@ def numbered(df: DataFrame, row: str, label: str) -> DataFrame:
     return materialise(df.withColumn(row, F.monotonically_increasing_id()), label)
 
 
+def few(column: str, of: int, sample: int) -> Column:
+    """Whether a value is among some four times `sample` of all `of` distinct ones, by its hash.
+
+    A ranking of what is drawn so brings a number of rows to the driver that does not grow.
+    """
+    share = min(1.0, 4 * sample / max(1, of))
+    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+
+
+def row_key(id: Column, text: Column, source: Column | None = None) -> Column:
+    """A digest by which rows that agree in id, text and source are found again."""
+    parts = [F.coalesce(id.cast("string"), F.lit("-"))]
+    if source is not None:
+        parts.append(F.coalesce(F.concat(F.length(source), F.lit(":"), source), F.lit("-")))
+    return F.unhex(F.sha2(F.concat_ws("|", *parts, whole(text)), 256))
+
+
+def chosen(docs: DataFrame, key: Column, keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """`docs` joined with `keys` (`_key` and perhaps more), one for each row of `keys`.
+
+    `rows` has `_key` of all of `docs`.  Rows that share a key are alike in all that matters here,
+    and the first of them stands for all.  Only this join moves whole documents.
+    """
+    name = unused("_key_", docs.columns)
+    keyed = docs.withColumn(name, key)
+    if not rows.groupBy("_key").count().where("count > 1").isEmpty():
+        keyed = keyed.dropDuplicates([name])
+    return keyed.join(keys.withColumnRenamed("_key", name), name)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into ones of at most `limit` bytes in `column`, or a single row."""
     for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sessionloom.session import materialise
 
 from .components import components
-from .rows import numbered, pieces, unused, whole
+from .rows import chosen, numbered, pieces, row_key, whole
 
 BITS = 64
 SEED = 42
@@ -145,14 +145,9 @@ def simhash(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The first document of each component, with all its columns."""
-    row = unused("_row", docs.columns)
-    copy = numbered(docs, row, "to-near-dedup")
-    prints = materialise(
-        fingerprints(
-            copy.select(F.col(row).alias("_row"), F.col(id).alias("_id"), F.col(text).alias("_text")),
-            "_text", "fp",
-        ),
-        "prints",
-    )
-    stay = near_components(prints).select(F.col("first_row").alias(row)).distinct()
-    return copy.join(materialise(stay, "kept-rows"), row, "left_semi").select(docs.columns)
+    key = row_key(F.col(id), F.col(text))
+    rows = docs.select(key.alias("_key"), F.col(id).alias("_id"), F.col(text).alias("_text"))
+    prints = numbered(fingerprints(rows, "_text", "fp"), "_row", "prints")
+    first = near_components(prints.drop("_key")).select(F.col("first_row").alias("_row")).distinct()
+    stay = materialise(prints.join(first, "_row", "left_semi").select("_key"), "kept-rows")
+    return chosen(docs, key, stay, prints).select(docs.columns)

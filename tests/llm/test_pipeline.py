@@ -40,7 +40,7 @@ def test_rows(spark, docs, rows, tmp_path):
     for row in first.values():
         if of[brute_fingerprint(row.text)] == row.doc_id:
             kept[row.doc_id].append(row)
-    assert all(len(some) == 1 for some in kept.values()) and len(kept) > 5
+    assert all(len(some) == 1 for some in kept.values()) and len(kept) > 2
     left = [some[0] for some in kept.values()]
 
     # The mix is checked in its own tests; here its copies are taken as given.
