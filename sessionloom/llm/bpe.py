@@ -263,9 +263,13 @@ def encode(
     return rows.mapInArrow(run, shape.schema)
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+def decode(
+    encoded: DataFrame, path: str, ids: str = "ids", span: tuple[int, int] | None = None,
+    starts: str = "starts",
+) -> DataFrame:
     """`encoded` with the bytes that its packed ids stand for, as the column `decoded`.
 
+    With a `span` of bytes only those are decoded, from the tokens that `starts` says hold them.
     Null ids give no bytes.  Should `decoded` be taken, the name is lengthened by underscores.
     """
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
@@ -291,8 +295,23 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                 found.append(table.take(np.repeat(skip, sizes) + np.arange(sizes.sum())).tobytes())
             return b"".join(found)
 
+        def within(packed: bytes, places: bytes) -> bytes:
+            begin, end = span
+            at = np.frombuffer(places, "<u4")
+            first = max(0, int(np.searchsorted(at, begin, "right")) - 1)
+            last = int(np.searchsorted(at, end))
+            if first >= last:
+                return b""
+            some = back(packed[4 * first:4 * last])
+            return some[max(0, begin - int(at[first])):max(0, end - int(at[first]))]
+
         for batch in pieces(batches, ids, 4 * BATCH_BYTES):
-            decoded = pa.array([back(x.as_py() or b"") for x in batch.column(ids)], pa.binary())
+            if span is None:
+                found = [back(x.as_py() or b"") for x in batch.column(ids)]
+            else:
+                both = zip(batch.column(ids), batch.column(starts), strict=True)
+                found = [within(x.as_py() or b"", at.as_py() or b"") for x, at in both]
+            decoded = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*columns, name])
 
     shape = encoded.withColumn(name, F.lit(b""))

@@ -82,6 +82,14 @@ def test_bpe_offsets_and_long_pieces(spark, library):
     ]
 
 
+def test_spans_are_decoded(spark, docs, rows):
+    encoded = bpe.encode(docs, RANKS)
+    for begin, end in ((0, 10), (7, 200), (4990, 5010), (30, 30)):
+        found = bpe.decode(encoded, RANKS, span=(begin, end)).collect()
+        expected = sorted(((r.doc_id, (r.text or "").encode()[begin:end]) for r in rows), key=repr)
+        assert sorted(((r.doc_id, bytes(r.decoded)) for r in found), key=repr) == expected
+
+
 # ---- exact dedup
 
 
