@@ -45,12 +45,12 @@ def numbered(df: DataFrame, row: str, label: str) -> DataFrame:
     return materialise(df.withColumn(row, F.monotonically_increasing_id()), label)
 
 
-def few(column: str, of: int, sample: int) -> Column:
-    """Whether a value is among some four times `sample` of all `of` distinct ones, by its hash.
+def few(column: str, of: int, count: int) -> Column:
+    """Whether a value is among about `count` of all `of` distinct ones, by its hash.
 
     A ranking of what is drawn so brings a number of rows to the driver that does not grow.
     """
-    share = min(1.0, 4 * sample / max(1, of))
+    share = min(1.0, count / max(1, of))
     return F.pmod(F.xxhash64(column), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
 
 

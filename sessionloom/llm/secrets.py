@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.session import materialise
 
-from .rows import pieces, whole
+from .rows import few, pieces, whole
 
 KINDS = ["assign", "access", "hex", "learned"]
 
@@ -208,8 +208,10 @@ def learn(found: DataFrame, sample: int = SAMPLE) -> dict[str, Automaton]:
     automata = {}
     for kind in ["", *LEAST]:
         rows = ordinary if kind == "" else labelled.where(F.col("kind") == kind)
+        values = rows.select(F.substring("value", 1, LEARNED_LENGTH).alias("value"))
+        distinct = values.agg(F.approx_count_distinct("value")).first()[0]
         values = (
-            rows.select(F.substring("value", 1, LEARNED_LENGTH).alias("value")).distinct()
+            values.where(few("value", distinct, 4 * sample)).distinct()
             .orderBy(F.xxhash64("value"), "value").limit(sample)
         )
         strings = [row.value for row in values.collect()]
