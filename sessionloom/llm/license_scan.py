@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import SPACE_CHARS, pieces, whole
+from .rows import SPACE_CHARS, few, pieces, whole
 
 NONE, UNKNOWN = "none", "unknown"
 
@@ -214,9 +214,12 @@ def train(sample: list[str], seed: int = 1, steps: int = 200) -> Model:
 
 
 def corpus_sample(docs: DataFrame, text: str, sample: int = SAMPLE) -> list[str]:
-    """At most `sample` paragraphs that show no notice, those whose hashes are smallest, and at
-    most SAMPLE_LENGTH characters of each: a bound of what the driver gathers."""
-    lines = docs.select(F.explode(F.split(whole(F.col(text)), "\n")).alias("line")).where(
+    """At most `sample` paragraphs that show no notice, those whose hashes are smallest in some
+    texts drawn by hash, and at most SAMPLE_LENGTH characters of each: a bound of what the driver
+    gathers."""
+    texts = docs.select(whole(F.col(text)).alias("text"))
+    texts = texts.where(few("text", docs.count(), sample))
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where(
         F.btrim("line", F.lit(SPACE_CHARS)) != ""
     )
     words = F.lower(F.col("line"))
