@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from sessionloom.session import materialise
 
 # A window sorts each group within one task.  Groups up to this size sort in seconds to a minute;
-# larger ones are cut into slices.
+# larger ones are cut into slices, small enough that even one such group keeps many tasks busy.
 HEAVY_GROUP_ROWS = 5_000_000
+SLICE_ROWS = 300_000
 
 
 def heavy_keys(rows: DataFrame, keys: list[str], limit: int = HEAVY_GROUP_ROWS) -> DataFrame | None:
@@ -81,14 +82,14 @@ def sliced_total(
     """`running_total` that divides the rows evenly between tasks, whatever their keys.
 
     The rows are written, so that sampling them for the ranges computes nothing again and their
-    number gives the number of slices, of `limit` rows each.  They are then range partitioned by
+    number gives the number of slices, of at most `limit` and SLICE_ROWS rows.  They are then range partitioned by
     key and order, which cuts a large key into consecutive slices, and written so that the cut
     is fixed.  A row's total is the running total in
     its slice plus the sum of the key's earlier slices.  There is one such sum per key and
     slice it touches: at most one per slice and one per key.
     """
     whole = materialise(rows, "to-slice")
-    slices = slices or max(1, -(-whole.count() // max(1, limit)))
+    slices = slices or max(1, -(-whole.count() // max(1, min(limit, SLICE_ROWS))))
     cuts = [F.col(column).asc_nulls_first() for column in [*keys, *order]]
     spread = whole.repartitionByRange(slices, *cuts)
     cut = materialise(
