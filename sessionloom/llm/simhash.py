@@ -104,15 +104,16 @@ def links(prints: DataFrame) -> DataFrame:
     return groups.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).where("a <> b")
 
 
-def near_components(prints: DataFrame) -> DataFrame:
-    """fp, component_id, first_row for written rows (_row, _id, fp).
+def near_components(prints: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """fp, component_id, first_row for written rows (_row, _id, fp); by `links` without edges.
 
     component_id is the smallest id that is reachable, null ids aside; first_row is the row that
     has it, the smallest of several (and if all ids are null, the smallest of those).
     """
     first = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_row")
     distinct = materialise(prints.groupBy("fp").agg(F.min(first).alias("first")), "fingerprints")
-    roots = components(links(distinct.select("fp"))).toDF("fp", "root")
+    edges = links(distinct.select("fp")) if edges is None else edges
+    roots = components(edges).toDF("fp", "root")
     rooted = materialise(
         distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
         "rooted-fingerprints",
