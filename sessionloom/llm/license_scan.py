@@ -4,6 +4,10 @@ A softmax regression on the word n-grams of known notices tells licence families
 licence and no licence apart.  It learns from varied notices and a bounded sample of the corpus;
 a temperature fitted on examples it has not seen calibrates its probabilities, and what it is
 not sure of is unknown.  A family counts only if a paragraph holds most of one of its notices.
+
+A paragraph is a line, or several that follow each other without a blank line between them, since
+notices are usually wrapped.  The classifier sees words only, so it learns nothing else from
+wrapped notices than from others: what a window of lines has besides a notice is text around it.
 """
 
 from __future__ import annotations
@@ -150,6 +154,69 @@ class Model:
         return family, chance, share
 
 
+    def may_hold(self, known: list[int]) -> bool:
+        """Whether a text with these n-grams may hold enough of any notice."""
+        return any(
+            sum(self.numbers[gram] in have for gram in notice) >= CONFIRMED * len(notice)
+            for have in [set(known)] for _, notice in self.notices
+        )
+
+    def scan(self, paragraphs: list[str]) -> tuple[int, list[tuple[int, str, float, float]]]:
+        """The number of lines with a word and what they hold, `none` aside: (line, family,
+        probability, share); a notice over several lines is told of the first.
+
+        Of a notice over several lines, those between its first and last line have no more words
+        than the longest notice.  Of windows that meet, the one with the largest share counts, and
+        the shorter of equal ones; windows of two families may share a line.  A window whose family
+        one of its lines has adds nothing, and lines of a window that counts are not unknown.
+        """
+        found, at, block = [], 0, []
+        for line in [*paragraphs, ""]:
+            if line.strip(SPACE_CHARS):
+                block.append(line)
+            elif block:
+                found += self._block(block, at)
+                at, block = at + len(block), []
+        return at, found
+
+    def _block(self, lines: list[str], start: int) -> list[tuple[int, str, float, float]]:
+        single = [self.judge(line) for line in lines]
+        windows = self._windows(lines, single) if len(lines) > 1 else []
+        covered = {at for first, last, *_ in windows for at in range(first, last + 1)}
+        found = [
+            (at, *verdict) for at, verdict in enumerate(single)
+            if verdict[0] != NONE and not (verdict[0] == UNKNOWN and at in covered)
+        ]
+        found += [(first, *verdict) for first, _, *verdict in windows]
+        return [(start + at, *verdict) for at, *verdict in sorted(found)]
+
+    def _windows(self, lines: list[str], single: list) -> list[tuple[int, int, str, float, float]]:
+        """(first line, last line, family, probability, share) of notices over several lines."""
+        words = [split_words(line) for line in lines]
+        if not self.may_hold(self.known([word for some in words for word in some])):
+            return []
+        longest = max(len(split_words(notice)) for some in NOTICES.values() for notice in some)
+        held = []
+        for first in range(len(lines)):
+            last, inner = first + 1, 0
+            while last < len(lines) and inner <= longest:
+                inner += len(words[last])
+                last += 1
+            if not self.may_hold(self.known([word for some in words[first:last] for word in some])):
+                continue
+            for end in range(first + 1, last):
+                verdict = self.judge("\n".join(lines[first:end + 1]))
+                own = {of for of, *_ in single[first:end + 1]}
+                if verdict[0] not in (NONE, UNKNOWN) and verdict[0] not in own:
+                    held.append((first, end, *verdict))
+        kept = []
+        for window in sorted(held, key=lambda w: (-w[4], w[1] - w[0], w[0])):
+            meets = ((min(window[1], w[1]) - max(window[0], w[0]) + 1, w[2]) for w in kept)
+            if all(shared <= (0 if family == window[2] else 1) for shared, family in meets):
+                kept.append(window)
+        return kept
+
+
 def examples(sample: list[str], seed: int, variants: int = VARIANTS) -> list[tuple[list[str], str]]:
     """Labelled paragraphs: notices with words left out or text around them, and the sample."""
     draw = np.random.default_rng(seed)
@@ -235,8 +302,8 @@ def license_scan(
     """One row per row of `docs`: doc_id, n_paragraphs and licences, an array of (paragraph,
     family, probability, share).
 
-    Paragraphs are lines with a word, numbered from 0; every one of every text is judged.  Null,
-    empty and blank texts have none.  Bytes that are no UTF-8 count as the replacement character.
+    Paragraphs are lines with a word, numbered from 0; every one of every text is judged, and so
+    are lines that follow each other (see `Model.scan`).  Null, empty and blank texts have none.  Bytes that are no UTF-8 count as the replacement character.
     Repeated rows each give a row; other columns are not read.  Without a model one is trained
     first, which runs a job.
     """
@@ -250,15 +317,11 @@ def license_scan(
         for batch in pieces(batches, "text", 1 << 22):
             counts, found = [], []
             for item in batch.column("text"):
-                lines = [
-                    line for line in item.as_py().decode(errors="replace").split("\n")
-                    if line.strip(SPACE_CHARS)
-                ]
-                judged = ((at, *model.judge(line)) for at, line in enumerate(lines))
-                counts.append(len(lines))
+                count, judged = model.scan(item.as_py().decode(errors="replace").split("\n"))
+                counts.append(count)
                 found.append([
                     {"paragraph": at, "family": family, "probability": round(p, 4), "share": round(share, 4)}
-                    for at, family, p, share in judged if family != NONE
+                    for at, family, p, share in judged
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(found, found_type)],
