@@ -12,6 +12,8 @@ from . import bpe
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .mixing import mix
+from .personal import BASE, personal_data
+from .phrases import collocations
 from .quality import quality_rules
 from .secrets import KINDS, secret_scan
 from .simhash import simhash
@@ -102,11 +104,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+    )
+    base = F.filter("spans", lambda x: x["kind"].isin(BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_byte_bpe, op2_exact_dedup, op3_warc, op4_quality_rules, op5_source_mix,
         op6_secret_scan, op7_token_counts, op8_suffix_dedup, op9_simhash,
-        op10_license_scan,
+        op10_license_scan, op12_personal_data, op13_phrase_mining,
     )
 }
