@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise, release
+from sessionloom.session import materialise
 
 from .rows import whole
 from .transducer import Transducer, build, composed, merged
@@ -27,9 +27,9 @@ from .transducer import Transducer, build, composed, merged
 LEAST = 10
 TOP = 2000
 # Words of a shard, bytes of text taken at once, and bytes of text for each prefix range.
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 5_000_000
 WINDOW = 1 << 22
-RANGE_BYTES = 1 << 23
+RANGE_BYTES = 1 << 24
 
 # ASCII letters in lower case, piece ends as full stops, tabs as spaces.
 _FOLD = bytes.maketrans(
@@ -92,11 +92,15 @@ class Shard:
         return words, [(rows - 1, count) for rows, count in found]
 
 
-def ranges_of(words: list[bytes], rows: np.ndarray, bits: int) -> np.ndarray:
-    """The prefix range, a number of `bits` bits, of each n-gram: shares of the hashes of its words
-    in order.  Where a gram has no further word, its own hash tells the share."""
-    hashes = np.array([xxhash.xxh64_intdigest(word, 42) for word in words], np.uint64)
-    own = hashes[rows] if len(rows) else np.zeros(rows.shape, np.uint64)
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(word, 42) for word in words], np.uint64)
+
+
+def ranges_of(hashes: np.ndarray, rows: np.ndarray, bits: int) -> np.ndarray:
+    """The prefix range, a number of `bits` bits, of each n-gram, given as numbers of hashed words:
+    shares of the hashes of its words in order.  Where a gram has no further word, its own hash
+    tells the share."""
+    own = hashes[rows]
     end = np.full(len(rows), 42, np.uint64)
     for column in own.T:
         end = (end ^ column) * np.uint64(0x9E3779B97F4A7C15)
@@ -112,17 +116,20 @@ def ranges_of(words: list[bytes], rows: np.ndarray, bits: int) -> np.ndarray:
 
 def by_range(words: list[bytes], grams: list[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[tuple[int, bytes]]:
     """A transducer for each prefix range that has n-grams; `grams` as in `Shard.grams`."""
-    parts = []
+    parts, hashes = [], hashes_of(words)
     for rows, count in grams:
-        part = ranges_of(words, rows, bits)
+        part = ranges_of(hashes, rows, bits)
         order = np.argsort(part, kind="stable")
         parts.append((rows[order], count[order], np.searchsorted(part[order], np.arange((1 << bits) + 1))))
     for number in range(1 << bits):
         cut = [(rows[at[number]:at[number + 1]], count[at[number]:at[number + 1]]) for rows, count, at in parts]
-        used = np.unique(np.concatenate([rows.ravel() for rows, _ in cut]))
-        if len(used):
-            cut = [(np.searchsorted(used, rows), count) for rows, count in cut]
-            yield number, build([words[at] for at in used.tolist()], cut).to_bytes()
+        if any(len(count) for _, count in cut):
+            used = np.zeros(len(words), bool)
+            for rows, _ in cut:
+                used[rows.ravel()] = True
+            place = np.cumsum(used) - 1
+            listed = [words[at] for at in np.flatnonzero(used).tolist()]
+            yield number, build(listed, [(place[rows], count) for rows, count in cut]).to_bytes()
 
 
 def shards(rows: DataFrame, bits: int) -> DataFrame:
@@ -160,21 +167,17 @@ def shards(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(run, "lang string, part long, blob binary, n long")
 
 
-def _united(frame: pa.Table, least: int) -> bytes:
-    parts = [Transducer.from_bytes(blob.as_py()) for blob in frame.column("blob")]
-    return merged(parts, least).to_bytes()
-
-
 def united(rows: DataFrame, least: int) -> DataFrame:
-    """lang, part, blob: the union of all transducers of a prefix range, from `least` on."""
+    """lang, part, blob, n: the union of all transducers of a prefix range, from `least` on, and
+    the sum of n."""
 
     def run(table: pa.Table) -> pa.Table:
-        one = table.slice(0, 1).select(["lang", "part"])
-        return one.append_column("blob", pa.array([_united(table, least)], pa.binary()))
+        blob = merged([Transducer.from_bytes(x.as_py()) for x in table.column("blob")], least).to_bytes()
+        return table.slice(0, 1).select(["lang", "part"]).append_column(
+            "blob", pa.array([blob], pa.binary())
+        ).append_column("n", pa.array([sum(table.column("n").to_pylist())], pa.int64()))
 
-    return rows.select("lang", "part", "blob").groupBy("lang", "part").applyInArrow(
-        run, "lang string, part long, blob binary"
-    )
+    return rows.groupBy("lang", "part").applyInArrow(run, "lang string, part long, blob binary, n long")
 
 
 def listed(counts: DataFrame) -> DataFrame:
@@ -205,7 +208,7 @@ def looked_up(parts: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
             numbers = []
             for phrase in batch.column("phrase"):
                 words = phrase.as_py().split(b" ")
-                numbers.append(int(ranges_of(words, np.arange(len(words))[None, :], bits)[0]))
+                numbers.append(int(ranges_of(hashes_of(words), np.arange(len(words))[None, :], bits)[0]))
             yield batch.append_column("part", pa.array(numbers, pa.int64()))
 
     def compose(asked: pa.Table, own: pa.Table) -> pa.Table:
@@ -230,7 +233,7 @@ def looked_up(parts: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
     placed = parts.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(
         place, "lang string, phrase binary, part long"
     )
-    found = placed.groupBy("lang", "part").cogroup(counts.groupBy("lang", "part")).applyInArrow(
+    found = placed.groupBy("lang", "part").cogroup(counts.drop("n").groupBy("lang", "part")).applyInArrow(
         compose, "lang string, phrase binary, count long"
     )
     return found.withColumn("phrase", F.col("phrase").cast("string"))
@@ -258,10 +261,8 @@ def collocations(
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
-    counted = materialise(shards(rows, bits), "count-transducers")
-    words = materialise(counted.groupBy("lang").agg(F.sum("n").alias("n")), "words-of-languages")
-    counts = materialise(united(counted, least), "united-counts")
-    release(docs.sparkSession, counted)
+    counts = materialise(united(shards(rows, bits), least), "united-counts")
+    words = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     grams = materialise(listed(counts).where(F.size("words") > 1), "frequent-phrases")
     length = F.size("words")
     cuts = grams.withColumn("k", F.explode(F.sequence(F.lit(1), length - 1))).select(

@@ -34,20 +34,9 @@ class Transducer:
 
     def to_bytes(self) -> bytes:
         head = np.array([len(self.words), len(self.first), len(self.label)], "<i8").tobytes()
-        # Front coding: the bytes that a word shares with the one before are left out.
-        shared, rest, last = bytearray(), [], b""
-        for word in self.words:
-            most = min(len(word), len(last), 255)
-            same = 0
-            while same < most and word[same] == last[same]:
-                same += 1
-            shared.append(same)
-            rest.append(word[same:])
-            last = word
         return zlib.compress(b"".join([
             head, np.diff(self.first, prepend=0).astype("<i4").tobytes(), self.label.astype("<i4").tobytes(),
-            self.weight.astype("<i8").tobytes(), self.target.astype("<i4").tobytes(),
-            bytes(shared), b" ".join(rest),
+            self.weight.astype("<i8").tobytes(), self.target.astype("<i4").tobytes(), b" ".join(self.words),
         ]), 1)
 
     @staticmethod
@@ -66,11 +55,7 @@ class Transducer:
             np.cumsum(numbers("<i4", states)), numbers("<i4", arcs), numbers("<i8", arcs),
             numbers("<i4", arcs),
         )
-        shared, listed, last = data[at:at + words], [], b""
-        for same, rest in zip(shared, data[at + words:].split(b" ") if words else []):
-            last = last[:same] + rest
-            listed.append(last)
-        return Transducer(listed, first, label, weight, target)
+        return Transducer(data[at:].split(b" ") if words else [], first, label, weight, target)
 
     def paths(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each length the n-grams with a count, as rows of word numbers, and their counts."""
@@ -103,29 +88,51 @@ def build(words: list[bytes], grams: list[tuple[np.ndarray, np.ndarray]]) -> Tra
         keys.append(np.unique(np.concatenate(parts)))
         ends.append(parts)
     states = np.zeros(len(keys[-1]), np.int64)
-    first, arcs, made = [0, 0], [np.zeros((0, 3), np.int64)], 1
+    sizes, arcs, made = [np.zeros(2, np.int64)], [np.zeros((0, 3), np.int64)], 1
     for depth in reversed(range(DEPTH)):
         count = np.zeros(len(keys[depth]), np.int64)
         if len(ends[depth][0]):
             count[np.searchsorted(keys[depth], ends[depth][0])] = grams[depth][1]
         run = np.column_stack([keys[depth] % wide, count, states])
-        parent = keys[depth] // wide
-        starts = _runs(parent)
-        stops = np.r_[starts[1:], len(parent)]
         states = np.zeros(len(keys[depth - 1]) if depth else 1, np.int64)
-        register: dict[bytes, int] = {}
-        for begin, end, owner in zip(starts.tolist(), stops.tolist(), parent[starts].tolist()):
-            own = run[begin:end]
-            state = register.setdefault(own.tobytes(), made)
-            if state == made:
-                made += 1
-                arcs.append(own)
-                first.append(first[-1] + end - begin)
-            states[owner] = state
-    if made == 1 or states[0] != made - 1:  # without n-grams: a start without arcs
-        first.append(first[-1])
+        for owners, size, own in _registered(run, keys[depth] // wide):
+            number, place = own
+            states[owners] = made + place
+            made += len(number)
+            sizes.append(size)
+            arcs.append(run[np.repeat(number - np.cumsum(size) + size, size) + np.arange(size.sum())])
+    if not len(keys[0]):  # without n-grams: a start without arcs
+        sizes.append(np.zeros(1, np.int64))
     label, weight, target = np.concatenate(arcs).T
-    return Transducer(words, np.array(first), label, weight, target)
+    return Transducer(words, np.cumsum(np.concatenate(sizes)), label, weight, target)
+
+
+def _registered(run: np.ndarray, parent: np.ndarray):
+    """States with these arcs, equal ones as one, for arcs sorted by the number of the beginning
+    that they go on from.  Yields beginnings, the numbers of arcs of each new state, and a pair:
+    where in `run` each new state's arcs begin, and the new state of each beginning."""
+    starts = _runs(parent)
+    sizes = np.diff(np.r_[starts, len(parent)])
+    single = sizes == 1
+    at = starts[single]
+    if len(at):
+        # Most states have one arc: all of them are told apart at once.
+        order = np.lexsort(run[at].T)
+        new = np.r_[True, (run[at][order][1:] != run[at][order][:-1]).any(axis=1)]
+        place = np.empty(len(at), np.int64)
+        place[order] = np.cumsum(new) - 1
+        number = at[order][new]
+        yield parent[at], np.ones(len(number), np.int64), (number, place)
+    register: dict[bytes, int] = {}
+    begins, lengths, place = [], [], []
+    for begin, size in zip(starts[~single].tolist(), sizes[~single].tolist()):
+        state = register.setdefault(run[begin:begin + size].tobytes(), len(register))
+        if state == len(begins):
+            begins.append(begin)
+            lengths.append(size)
+        place.append(state)
+    if begins:
+        yield parent[starts[~single]], np.array(lengths), (np.array(begins), np.array(place))
 
 
 def merged(parts: list[Transducer], least: int = 1) -> Transducer:
