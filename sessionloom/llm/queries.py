@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
+from .alignment import alignment
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .mixing import mix
@@ -104,6 +105,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(_table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(
@@ -126,6 +134,6 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_byte_bpe, op2_exact_dedup, op3_warc, op4_quality_rules, op5_source_mix,
         op6_secret_scan, op7_token_counts, op8_suffix_dedup, op9_simhash,
-        op10_license_scan, op12_personal_data, op13_phrase_mining,
+        op10_license_scan, op11_token_alignment, op12_personal_data, op13_phrase_mining,
     )
 }
