@@ -15,9 +15,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,8 @@ from sessionloom.session import materialise, release
 from .rows import pieces
 
 BATCH_BYTES = 1 << 22
-# Words remembered by a task, and their length; and pairs that it counts before it passes them on.
-CACHED, CACHED_LENGTH = 200_000, 64
+# Words remembered by a task, and pairs that it counts before it passes them on.
+CACHED = 400_000
 HELD_PAIRS = 2_000_000
 # Pair counts of at most so many rows go to every task; more are joined by a shuffle.
 FEW_PAIRS = 2_000_000
@@ -49,18 +48,12 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + at): b for at, b in enumerate(others)}
 
 
-class Word(NamedTuple):
-    """An aligned word: numbers of tokens and groups, the groups as text, the linked pairs."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    pairs: tuple[int, ...]
-
-
 class Aligner:
-    """Aligns words by a byte-level vocabulary (A) and one of pieces (B)."""
+    """Aligns words by a byte-level vocabulary (A) and one of pieces (B), and remembers them.
+
+    Words are numbered: `known` has the number of a word, -1 if the tokens do not spell it, and the
+    lists and arrays below it have its measures, its groups as text, and where its pairs are.
+    """
 
     def __init__(self, byte_level: bytes, piece_model: bytes):
         # A task has one core; the library would take all.
@@ -74,62 +67,111 @@ class Aligner:
         self.a.no_padding()
         self.b = SentencePieceProcessor(model_proto=piece_model)
         symbols = byte_symbols()
-        self.bytes_a = {
-            number: bytes(symbols[x] for x in token)
-            for token, number in self.a.get_vocab().items() if set(token) <= symbols.keys()
-        }
-        self.bytes_b = {}
+        self.bytes_a = [b""] * self.a.get_vocab_size()
+        for token, number in self.a.get_vocab().items():
+            self.bytes_a[number] = bytes(symbols.get(x, 255) for x in token)
+        self.bytes_b = []
         for number in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(number)
-            self.bytes_b[number] = (
-                bytes([int(piece[3:5], 16)]) if self.b.is_byte(number)
-                else piece.replace(_MARK, " ").encode()
-            )
-        self.known: dict[str, Word | None] = {}
-
-    def _aligned(self, word: str, a: list[int], b: list[int]) -> Word | None:
-        """None if the bytes of the tokens are not the word's."""
-        of_a = [self.bytes_a.get(x, b"\xff\xff") for x in a]
-        of_b = [self.bytes_b[x] for x in b]
-        content = word.encode()
-        if b"".join(of_a) != content or b"".join(of_b) != content:
-            return None
-        groups, pairs, i, j, start_i, start_j = [], [], 0, 0, 0, 0
-        end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b and i < len(a):
-                end_a += len(of_a[i])
-                i += 1
-            else:
-                end_b += len(of_b[j])
-                j += 1
-            if end_a == end_b:
-                own_a, own_b = a[start_i:i], b[start_j:j]
-                groups.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                pairs += [x << 32 | y for x in own_a for y in own_b]
-                start_i, start_j = i, j
-        return Word(len(a), len(b), len(groups), ";".join(groups), tuple(pairs))
-
-    def learn(self, words: list[str]) -> dict[str, Word | None]:
-        """The alignments of words, each of which begins with a space."""
-        a = self.a.encode_batch_fast(words, add_special_tokens=False)
+            own = bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace(_MARK, " ").encode()
+            self.bytes_b.append(own)
+        self.length_a, self.length_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
+        # A token's number as text with what follows it: in a group, after its A and its B tokens.
+        spelt = [f"{number}{mark}" for mark in ",|" for number in range(len(self.bytes_a))]
+        spelt += [f"{number}{mark}" for mark in ",;" for number in range(len(self.bytes_b))]
+        self.spelt = np.array(spelt, object)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.counts = np.zeros((0, 3), np.int64)  # tokens of A and B, groups
+        self.at, self.pairs = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        """Align words, each of which begins with a space.
+
+        A word that ends in text is encoded by A in one text with others, of which it is apart.
+        """
+        apart = [word for word in words if not word[-1].isspace()]
+        tails = [word for word in words if word[-1].isspace()]
+        words = apart + tails
+        joined = ["".join(apart[at:at + 1000]) for at in range(0, len(apart), 1000)]
+        a = [self.a.encode(text, add_special_tokens=False).ids for text in joined + tails]
         b = self.b.encode([word[1:] for word in words], num_threads=1)
-        return {word: self._aligned(word, x.ids, y) for word, x, y in zip(words, a, b, strict=True)}
-
-    def texts(self, texts: list[str]) -> Iterator[tuple[list[str], dict[str, Word]]]:
-        """For each text its words, none if the tokens do not spell it, and their alignments."""
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        content = [word.encode() for word in words]
+        if self._spell(b"".join(content), a, b):
+            self._align(words, np.cumsum([*map(len, content)]), a, b)
+        elif len(words) == 1:
+            self.known[words[0]] = -1
+        else:  # halves, until what is not spelt is alone
+            self.learn(words[::2])
+            self.learn(words[1::2])
+
+    def _spell(self, content: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        return all(
+            b"".join(map(spelt.__getitem__, ids.tolist())) == content
+            for spelt, ids in ((self.bytes_a, a), (self.bytes_b, b))
+        )
+
+    def _align(self, words: list[str], stops: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """All words at once: `stops` are their ends in bytes, one after the other."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)  # their groups
+        in_a, in_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        word_of = np.searchsorted(stops, cuts)
+        # Every A token with every B token of its group.
+        times = in_b[of_a]
+        each = np.repeat(np.arange(len(a)), times)
+        other = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times) + first_b[of_a[each]]
+        pairs = a[each] << 32 | b[other]
+        # The groups as text: the A tokens of each, then its B tokens.
+        wide_a, wide_b, start = len(self.bytes_a), len(self.bytes_b), first_a + first_b
+        pieces_ = np.empty(len(a) + len(b), np.int64)
+        place_a, place_b = np.arange(len(a)) - first_a[of_a], np.arange(len(b)) - first_b[of_b]
+        pieces_[start[of_a] + place_a] = a + wide_a * (place_a == in_a[of_a] - 1)
+        pieces_[start[of_b] + in_a[of_b] + place_b] = 2 * wide_a + b + wide_b * (place_b == in_b[of_b] - 1)
+        spelt = self.spelt[pieces_].tolist()
+        count = lambda of: np.bincount(word_of, of, len(words)).astype(np.int64)
+        n_a, n_b, n_groups = count(in_a), count(in_b), np.bincount(word_of, minlength=len(words))
+        stop = np.cumsum(n_a + n_b).tolist()
+        self.known |= {word: len(self.groups) + at for at, word in enumerate(words)}
+        self.groups += ["".join(spelt[begin:end])[:-1] for begin, end in zip([0, *stop], stop)]
+        self.counts = np.concatenate([self.counts, np.column_stack([n_a, n_b, n_groups])])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count(in_a * in_b))])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """For each text the numbers of its words, none if the tokens do not spell it."""
         cut = [self.words(text) for text in texts]
         distinct = {word for words in cut for word in words}
         fresh = distinct - self.known.keys()
         if len(self.known) + len(fresh) > CACHED:
-            self.known, fresh = {}, distinct
-        self.known |= self.learn(list(fresh))
+            self._forget()
+            fresh = distinct
+        if fresh:
+            self.learn(sorted(fresh))
         for words in cut:
-            spelt = all(self.known[word] is not None for word in set(words))
-            yield words if spelt else [], self.known
-        for word in fresh:
-            if len(word) > CACHED_LENGTH:
-                del self.known[word]
+            numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            yield numbers if len(words) and numbers.min() >= 0 else numbers[:0]
+
+    def measures(self, numbers: np.ndarray) -> tuple:
+        """Of the words of a text: tokens of A and B, groups and links, the digest of the groups,
+        the distinct pairs and how often each is linked."""
+        if not len(numbers):
+            return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)
+        spelt = ";".join(map(self.groups.__getitem__, numbers.tolist()))
+        words, often = np.unique(numbers, return_counts=True)
+        size = self.at[words + 1] - self.at[words]
+        flat = self.pairs[np.repeat(self.at[words] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        pairs, at = np.unique(flat, return_inverse=True)
+        times = np.bincount(at, np.repeat(often, size), len(pairs)).astype(np.int64)
+        n_a, n_b, n_groups = self.counts[numbers].sum(axis=0).tolist()
+        digest = hashlib.sha256(spelt.encode()).hexdigest()
+        return n_a, n_b, n_groups, int(times.sum()), digest, pairs, times.astype(np.int32)
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -144,22 +186,6 @@ class Aligner:
 _MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def _measures(words: list[str], known: dict[str, tuple]) -> tuple:
-    """The measures of a text, its digest, its distinct pairs and how often each is linked."""
-    if not words:
-        return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)
-    digest = hashlib.sha256(";".join([known[word].groups for word in words]).encode()).hexdigest()
-    totals, flat, often = [0, 0, 0], [], []
-    for word, count in Counter(words).items():
-        own = known[word]
-        totals = [total + count * x for total, x in zip(totals, own[:3])]
-        flat += own.pairs
-        often += [count] * len(own.pairs)
-    pairs, at = np.unique(np.array(flat, np.int64), return_inverse=True)
-    times = np.bincount(at, np.array(often), len(pairs)).astype(np.int64)
-    return *totals, int(times.sum()), digest, pairs, times.astype(np.int32)
-
-
 def aligned(rows: DataFrame, byte_level: bytes, piece_model: bytes) -> DataFrame:
     """`rows` (digest, copies, text) with n_a, n_b, n_groups, n_links, groups_sha256, pairs and
     times in place of the text: the distinct linked pairs, sorted, and how often each is linked."""
@@ -171,7 +197,7 @@ def aligned(rows: DataFrame, byte_level: bytes, piece_model: bytes) -> DataFrame
         aligner = Aligner(*files.value)
         for batch in pieces(batches, "text", BATCH_BYTES):
             texts = [x.as_py().decode(errors="replace") for x in batch.column("text")]
-            found = list(zip(*[_measures(*x) for x in aligner.texts(texts)])) or [()] * len(kinds)
+            found = list(zip(*map(aligner.measures, aligner.texts(texts)))) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), batch.column("copies"), *map(pa.array, found, kinds)],
                 ["digest", "copies", *names],
