@@ -30,6 +30,8 @@ TOP = 2000
 SHARD_WORDS = 5_000_000
 WINDOW = 1 << 22
 RANGE_BYTES = 1 << 24
+# Into how many parts a language's phrases are dealt to be ranked.
+RANKED_APART = 16
 
 # ASCII letters in lower case, piece ends as full stops, tabs as spaces.
 _FOLD = bytes.maketrans(
@@ -73,23 +75,31 @@ class Shard:
         """Sorted words and, for each length, n-grams as rows of their numbers, and counts; those
         that end in one of the words added."""
         words = sorted(self.numbers.keys() - {b"."})
-        place = np.zeros(len(self.numbers), np.int64)
+        place = np.zeros(len(self.numbers), np.int32)
         place[[self.numbers[word] for word in words]] = np.arange(1, len(words) + 1)
-        ids = place[np.concatenate(self.parts)]
-        wide = len(words) + 1
+        ids, wide = place[np.concatenate(self.parts)], len(words) + 1
+        self.parts.clear()
         third, second, first = ids[2:], ids[1:-1], ids[:-2]
-        single, count = np.unique(third[third > 0], return_counts=True)
-        found = [(single[:, None], count)]
+        count = np.bincount(third, minlength=wide)
+        single = np.flatnonzero(count[1:]) + 1
+        found = [(self._rows(single), count[single])]
         both = (second > 0) & (third > 0)
-        pair, count = np.unique(second[both] * wide + third[both], return_counts=True)
-        found.append((np.column_stack([pair // wide, pair % wide]), count))
+        pair, count = np.unique(second[both] * np.int64(wide) + third[both], return_counts=True)
+        found.append((self._rows(pair // wide, pair % wide), count))
         # A pair's own number keeps a triple below 64 bits.
         three = both & (first > 0)
-        pairs, own = np.unique(first[three] * wide + second[three], return_inverse=True)
+        begin = first[three] * np.int64(wide) + second[three]
+        pair = np.unique(begin)
+        own = np.searchsorted(pair, begin)
+        del begin, both
         triple, count = np.unique(own * wide + third[three], return_counts=True)
-        pair = pairs[triple // wide]
-        found.append((np.column_stack([pair // wide, pair % wide, triple % wide]), count))
-        return words, [(rows - 1, count) for rows, count in found]
+        pair = pair[triple // wide]
+        found.append((self._rows(pair // wide, pair % wide, triple % wide), count))
+        return words, found
+
+    @staticmethod
+    def _rows(*columns: np.ndarray) -> np.ndarray:
+        return np.column_stack([column.astype(np.int32) for column in columns]) - np.int32(1)
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
@@ -284,11 +294,15 @@ def collocations(
     inner = grams.where(length == 3).select("lang", "a", F.explode(F.array(
         _joined(F.col("words"), 1, 2), _joined(F.col("words"), 2, 2)
     )).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # Ranked among some of a language's phrases first, so that few meet for the last ranking.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_APART))).orderBy(*order)
+    best = Window.partitionBy("lang").orderBy(*order)
     return (
         scored.join(inner, ["lang", "phrase"], "left")
         .where(F.coalesce(2 * F.col("longer") < F.col("a"), F.lit(True)))
         .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+        .withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
         .withColumn("rank", F.row_number().over(best).cast("long"))
         .where(F.col("rank") <= top)
         .join(words, "lang")
