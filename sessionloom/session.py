@@ -26,13 +26,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, which every executor can reach.
 
     `spark.checkpoint.dir` if set, else the session's checkpoint folder, else the warehouse.
-    None of these settings is changed.
+    None of these settings is changed.  A warehouse in a machine's own file system will do for a
+    local session only.
     """
-    return (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    ).rstrip("/")
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and (warehouse.startswith("file:") or ":" not in warehouse):
+        raise ValueError(f"{warehouse} is no folder that executors share; set spark.checkpoint.dir")
+    return warehouse
 
 
 def _tables_dir(spark: SparkSession) -> str:
@@ -49,14 +53,19 @@ def drop_tables(spark: SparkSession) -> None:
     files.delete(path, True)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Remove the files of tables of `materialise` that nothing needs any more."""
+    for table in tables:
+        files, folder = _file_system(table.sparkSession, table.written_to)
+        files.delete(folder, True)
+
+
 def release(spark: SparkSession, *tables: DataFrame) -> None:
     """Remove tables of `materialise` that nothing needs any more, and shuffle files behind them.
 
     Spark removes shuffle files when the driver collects its garbage, which may be late.
     """
-    for table in tables:
-        files, folder = _file_system(spark, table.written_to)
-        files.delete(folder, True)
+    drop(*tables)
     gc.collect()
     spark._jvm.System.gc()
 
@@ -74,6 +83,24 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     return table
 
 
+def bucketed(df: DataFrame, label: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """`materialise` by buckets of `keys`, sorted by them within each.
+
+    Joins and groupings by these keys read buckets side by side and need no shuffle.  The buckets,
+    by default the session's shuffle partitions, make one file each.  The catalog needs a table to
+    write buckets; it is gone when this returns, the files stay as long as those of `materialise`.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = new_path(spark, label), f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    table.written_to = path
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def observed(seen: Observation) -> dict[str, int]:
     """Sums and counts that a finished job observed; 0 is left out for those of no rows.
 
@@ -99,6 +126,20 @@ def list_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.globStatus(path) or [])
 
 
+def file_stamps(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """Length and time of change of the files matching a path whose last part may hold a '*'."""
+    files, path = _file_system(spark, pattern)
+    return {
+        status.getPath().getName(): f"{status.getLen()}-{status.getModificationTime()}"
+        for status in files.globStatus(path) or []
+    }
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, path = _file_system(spark, path)
+    files.delete(path, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, path = _file_system(spark, path)
     return files.exists(path)
