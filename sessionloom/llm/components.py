@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise
+from sessionloom.session import drop, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     graph a number that grows with the logarithm of its size in expectation; each round has at
     least one node less per component, so it ends.  Rounds are written tables: nothing comes to
     the driver, and a node with very many edges or members is the key of plain joins, which
-    adaptive execution splits.
+    adaptive execution splits.  A round's tables go when the next has its own; what is returned is
+    one table, which `release` removes.
     """
     edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
     roots = None
@@ -33,17 +34,25 @@ def components(edges: DataFrame) -> DataFrame:
             ),
             "joined-nodes",
         )
-        roots = joined.toDF("node", "root") if roots is None else materialise(
+        last, roots = roots, materialise(
+            joined.toDF("node", "root") if roots is None else
             roots.join(joined, roots["root"] == joined["old"], "left").select(
                 "node", F.coalesce("new", "root").alias("root")
             ),
             "roots",
         )
-        edges = materialise(
+        drop(*[last] if last is not None else [])
+        last, edges = edges, materialise(
             edges.join(joined.toDF("a", "c"), "a").join(joined.toDF("b", "d"), "b")
             .where("c <> d").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
             .distinct(),
             "edges",
         )
+        drop(last, joined)
         turn += 1
-    return edges.toDF("node", "root") if roots is None else roots
+    if roots is None:
+        roots = edges.toDF("node", "root")
+        roots.written_to = edges.written_to
+        return roots
+    drop(edges)
+    return roots

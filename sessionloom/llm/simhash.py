@@ -20,10 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise
+from sessionloom.session import drop, materialise
 
 from .components import components
-from .rows import chosen, numbered, pieces, row_key, whole
+from .rows import numbered, pieces, whole
 
 BITS = 64
 SEED = 42
@@ -113,18 +113,20 @@ def near_components(prints: DataFrame, edges: DataFrame | None = None) -> DataFr
     first = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_row")
     distinct = materialise(prints.groupBy("fp").agg(F.min(first).alias("first")), "fingerprints")
     edges = links(distinct.select("fp")) if edges is None else edges
-    roots = components(edges).toDF("fp", "root")
+    roots = components(edges)
     rooted = materialise(
-        distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
+        distinct.join(roots.toDF("fp", "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
         "rooted-fingerprints",
     )
     of_root = materialise(rooted.groupBy("root").agg(F.min("first").alias("least")), "component-ids")
-    return materialise(
+    found = materialise(
         rooted.join(of_root, "root").select(
             "fp", F.col("least._id").alias("component_id"), F.col("least._row").alias("first_row")
         ),
         "fingerprint-components",
     )
+    drop(distinct, roots, rooted, of_root)
+    return found
 
 
 def simhash(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,13 +144,3 @@ def simhash(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
-
-
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first document of each component, with all its columns."""
-    key = row_key(F.col(id), F.col(text))
-    rows = docs.select(key.alias("_key"), F.col(id).alias("_id"), F.col(text).alias("_text"))
-    prints = numbered(fingerprints(rows, "_text", "fp"), "_row", "prints")
-    first = near_components(prints.drop("_key")).select(F.col("first_row").alias("_row")).distinct()
-    stay = materialise(prints.join(first, "_row", "left_semi").select("_key"), "kept-rows")
-    return chosen(docs, key, stay, prints).select(docs.columns)
