@@ -84,7 +84,11 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame, schedules) -> DataFrame:
-    """`rows` (_row, _id, source, size) with source_size, target, copies and positions."""
+    """`rows` (_row, _id, hash, source, size) with source_size, target, copies and positions.
+
+    Documents follow each other by an unsigned hash of id and text; buckets are shares of it, so
+    how many there are changes nothing but where sums are made.
+    """
     sources = materialise(rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows")
     ), "source-sizes")
@@ -93,22 +97,29 @@ def _placed(rows: DataFrame, schedules) -> DataFrame:
     aimed = materialise(
         targets(schedules(sources)).withColumn("number", F.monotonically_increasing_id()), "targets"
     )
-    key = F.xxhash64("_id")
+    key = F.xxhash64("_id", "hash")
     dealt = materialise(
         rows.join(aimed.withColumnRenamed("source", "_of"), rows["source"].eqNullSafe(F.col("_of")))
-        .drop("_of", "source_rows")
         .withColumn("key", key)
-        .withColumn("bucket", F.shiftrightunsigned(F.shiftrightunsigned("key", 63 - bits), 1)),
+        .drop("_of", "source_rows", "hash")
+        .withColumn("bucket", F.shiftrightunsigned(F.shiftrightunsigned("key", 63 - bits), 1))
+        .withColumn("key", F.col("key").bitwiseXOR(F.lit(-(1 << 63)))),  # signed order as unsigned
         "dealt",
     )
     earlier = lambda *by: (
         Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     )
+    # Sums before each bucket in two levels, so that no task has all buckets of a source.
+    words_of = dealt.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
+    words_of = materialise(words_of.withColumn("coarse", F.shiftright("bucket", bits // 2)), "bucket-words")
+    before = lambda order: F.coalesce(F.sum("words").over(order), F.lit(0))
+    coarse = words_of.groupBy("number", "coarse").agg(F.sum("words").alias("words")).select(
+        "number", "coarse", before(earlier("number").orderBy("coarse")).alias("first")
+    )
+    inner = words_of.withColumn("start", before(earlier("number", "coarse").orderBy("bucket")))
     starts = materialise(
-        dealt.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
-        .select("number", "bucket", F.coalesce(
-            F.sum("words").over(earlier("number").orderBy("bucket")), F.lit(0)
-        ).alias("start")),
+        inner.join(coarse, ["number", "coarse"])
+        .select("number", "bucket", (F.col("start") + F.col("first")).alias("start")),
         "bucket-starts",
     )
     within = F.sum("size").over(earlier("number", "bucket").orderBy("key", "_id", "size", "_row"))
@@ -139,8 +150,8 @@ def mix(
     doc_id, source, size, source_size, target, copies, taken, positions.
 
     Size counts words, null and empty texts having none; those are taken for no words.  A null
-    source is a source.  Rows that repeat an id are separate documents, next to each other in
-    the source's order.  A document is used whole: whenever its middle word falls below the
+    source is a source.  Rows that repeat an id are separate documents, and rows that repeat id and
+    text too, next to each other in the source's order.  A document is used whole: whenever its middle word falls below the
     target, so a source misses its target by at most half a document.  Other columns are not read.
     Runs jobs when called.  `schedules` adds a column `schedule`, an array of at least two
     weights, to the sources.
@@ -148,7 +159,7 @@ def mix(
     rows = numbered(
         docs.select(
             F.col(id).alias("_id"), F.col(source).alias("source"),
-            F.size(words(F.col(text))).cast("long").alias("size"),
+            F.xxhash64(text).alias("hash"), F.size(words(F.col(text))).cast("long").alias("size"),
         ),
         "_row", "sizes",
     )
@@ -164,10 +175,17 @@ def mixture(
     docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
     schedules=ranked_schedules,
 ) -> DataFrame:
-    """The documents in training order, as often as the mix takes them, with all their columns."""
+    """The documents in training order, as often as the mix takes them, with all their columns.
+
+    Null and empty texts have no words and are taken for none; null ids and sources, ties and
+    repeated rows are as in `mix`.  Of rows that agree in id, text and source the first stands for
+    all, as often as they are taken together.
+    """
     key = row_key(F.col(id), F.col(text), F.col(source))
     size = F.size(words(F.col(text))).cast("long").alias("size")
-    rows = docs.select(key.alias("_key"), F.col(id).alias("_id"), F.col(source).alias("source"), size)
+    rows = docs.select(
+        key.alias("_key"), F.col(id).alias("_id"), F.col(source).alias("source"), F.xxhash64(text).alias("hash"), size
+    )
     rows = numbered(rows, "_row", "sizes")
     at = unused("_at", docs.columns)
     uses = _placed(rows.drop("_key"), schedules).select("_row", F.explode("positions").alias(at))
