@@ -27,6 +27,7 @@ class CountCache:
 
     The files live at `path`, outlast the session and serve any number of tokenizers.  `buckets`
     must stay the same for a path; by default it is the session's number of shuffle partitions.
+    The catalog names the files until `close`.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
@@ -43,6 +44,10 @@ class CountCache:
     def of(self, tokenizer: str) -> DataFrame:
         return self.spark.table(self.name).where(F.col("tokenizer") == tokenizer).drop("tokenizer")
 
+    def close(self) -> None:
+        """Forget the table's name; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def append(self, counts: DataFrame, tokenizer: str) -> None:
         """Append counts (digest, n_tokens; distinct digests that the cache lacks)."""
         counts.repartition(self.buckets, "digest").select(
@@ -98,10 +103,10 @@ def token_counts(
     Content is the text after `normalise`, which must not change a count; by default null counts
     as empty and nothing else changes, as tokenizers tell white space and letter forms apart.
     Bytes that are no UTF-8 count as the replacement character.  Null ids and repeated rows are
-    rows like any other.  Other columns are not read.  Without a cache, an empty one is used.
-    Runs jobs when called: the cache is appended to.
+    rows like any other, encoded once.  Other columns are not read.  Without a cache, an empty one
+    is used and closed.  A long text is encoded in one piece.  Runs jobs when called: the cache is appended to.
     """
-    cache = cache or CountCache(docs.sparkSession)
+    own, cache = cache is None, cache or CountCache(docs.sparkSession)
     file, version = tokenizer_file(path)
     content = normalise(F.col(text))
     digest = F.unhex(F.sha2(content, 256))
@@ -118,14 +123,16 @@ def token_counts(
         .join(cache.of(version).hint("merge"), "digest", "left_anti"),
         "misses",
     )
-    # One document for each missing digest, found by its id; null ids match too.  Documents that
-    # share an id and a text give several, of which one count is kept.
+    # One document for each missing digest, found by its id; null ids match too.
     texts = docs.select(F.col(id).alias("_id"), content.alias("text")).withColumn(
         "_digest", F.unhex(F.sha2("text", 256))
     )
     wanted = texts.join(
         misses, texts["_id"].eqNullSafe(misses["doc_id"]) & (texts["_digest"] == misses["digest"])
     ).select("digest", "text")
+    # Rows that repeat both id and text are found together; one of them is encoded.
+    if not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
+        wanted = wanted.dropDuplicates(["digest"])
     fresh = encoded_counts(wanted, file, path.rpartition(".")[2])
     cache.append(fresh.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), version)
     counts = materialise(
@@ -134,6 +141,8 @@ def token_counts(
         .withColumnRenamed("digest", "_digest"),
         "counts",
     )
+    if own:
+        cache.close()
     return rows.join(counts, rows["digest"] == counts["_digest"]).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
