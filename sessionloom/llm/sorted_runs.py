@@ -1,8 +1,9 @@
 """Distributed merge sort of byte strings that never compares a known prefix again.
 
 Each task sorts its strings into a run, one for each range of strings, and front-codes it: of a
-string only what follows its common prefix with the one before is kept.  The runs of a range
-meet in one task, which merges them with a loser tree.  Beside its string every contender keeps
+string only what follows its common prefix with the one before is kept.  Ranges are cut by whole
+strings, so that any two different ones can be told apart; beyond a bounded number of cuts a range
+is dealt further by a hash of the string.  The runs of a range meet in one task, which merges them with a loser tree.  Beside its string every contender keeps
 the length of its common prefix with the last winner of its match: the contender with the longer
 one is smaller, and only equal ones are compared, from there on.
 """
@@ -11,10 +12,11 @@ from __future__ import annotations
 
 import struct
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,9 @@ from sessionloom.session import materialise, release
 # A task sorts so many strings at a time, and a range holds about so many.
 RUN_RECORDS = 200_000
 PART_RECORDS = 50_000
-# Of each range so many strings are sampled, and so many bytes of a string tell ranges apart.
-SAMPLED = 30
-CUT_BYTES = 24
+# Of each range so many strings are sampled, and so many cuts at most come to the driver.
+SAMPLED = 300
+MOST_CUTS = 20_000
 
 # Where a string is: whether the document has no id, its id (0 then), a hash of its text, and the
 # string's start.  Places are compared as tuples.
@@ -132,37 +134,64 @@ class LoserTree:
             self.winner = contender
 
 
-def split_run(records: list[Record], cuts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-    """A sorted run as range numbers and front-coded runs."""
+def split_run(records: list[Record], cuts: list[bytes], deals: int = 1) -> Iterator[tuple[int, bytes]]:
+    """A sorted run as part numbers and front-coded runs.
+
+    Looks up the cuts between the run's own strings only, however many there are.  With several
+    `deals` a range is dealt by the strings' hashes, so equal strings stay together.
+    """
     begin = 0
-    for number, cut in enumerate([*cuts, None]):
-        end = len(records)
-        if cut is not None:
-            end = bisect_left(records, cut, begin, key=lambda record: record[0])
-        if end > begin:
+    while begin < len(records):
+        number, end = bisect_right(cuts, records[begin][0]), len(records)
+        if number < len(cuts):
+            end = bisect_left(records, cuts[number], begin, key=lambda record: record[0])
+        if deals == 1:
             yield number, front_code(records[begin:end])
+        else:
+            dealt: dict[int, list[Record]] = {}
+            for record in records[begin:end]:
+                dealt.setdefault(xxhash.xxh64_intdigest(record[0]) % deals, []).append(record)
+            for deal, some in dealt.items():
+                yield number * deals + deal, front_code(some)
         begin = end
 
 
-def cut_strings(strings: DataFrame, count: int) -> list[bytes]:
+def cut_strings(strings: DataFrame, count: int) -> tuple[list[bytes], int]:
     """Strings that cut `strings` (`string` binary, one row each), of which there are `count`,
-    into ranges of about PART_RECORDS.
+    into ranges, and into how many parts each is dealt so that one has about PART_RECORDS.
 
-    Some in a thousand beginnings, drawn by hash, are ranked by Spark; only the cuts, CUT_BYTES
-    for PART_RECORDS strings, reach the driver.
+    Some in a thousand strings, drawn by hash, are ranked by Spark; only the cuts, MOST_CUTS at
+    most, reach the driver.
     """
     parts = -(-count // PART_RECORDS)
     if parts < 2:
-        return []
-    drawn = strings.where(F.pmod(F.xxhash64("string", F.lit(1)), F.lit(PART_RECORDS)) < SAMPLED * 10)
-    heads = materialise(drawn.select(F.substring("string", 1, CUT_BYTES).alias("string")), "drawn-strings")
-    every = SAMPLED * 10
-    row = heads.orderBy("string").select("string").rdd.zipWithIndex()
-    return sorted({bytes(r[0]) for r, at in row.filter(lambda x: x[1] % every == every - 1).collect()})
+        return [], 1
+    ranges = min(parts, MOST_CUTS)
+    rate = min(1.0, SAMPLED * ranges / count)
+    drawn = strings.where(
+        F.pmod(F.xxhash64("string", F.lit(1)), F.lit(1 << 40)) < F.lit(int(rate * (1 << 40)))
+    ).select("string")
+    place = F.monotonically_increasing_id()
+    ranked = materialise(drawn.orderBy("string").withColumn("place", place), "drawn-strings")
+    piece = F.shiftright("place", 33).alias("piece")
+    sizes = sorted(map(tuple, ranked.groupBy(piece).count().collect()))  # a row for each sorted piece
+    before, total = [], 0
+    for number, size in sizes:
+        before.append((number, total))
+        total += size
+    if not total:
+        return [], -(-parts // ranges)
+    starts = strings.sparkSession.createDataFrame(before, "piece long, before long")
+    at = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1)
+    every = max(1, total // ranges)
+    cuts = ranked.withColumn("piece", piece).join(F.broadcast(starts), "piece").where(at % every == every - 1)
+    found = sorted({bytes(row[0]) for row in cuts.select("string").collect()})
+    release(strings.sparkSession, ranked)
+    return found, -(-parts // ranges)
 
 
 def first_places(
-    rows: DataFrame, make: Callable[[pa.RecordBatch], Iterator[Record]], cuts: list[bytes],
+    rows: DataFrame, make: Callable[[pa.RecordBatch], Iterator[Record]], cuts: tuple[list[bytes], int],
     mark: Callable[[bytes], int] | None = None,
 ) -> DataFrame:
     """Places of strings, and whether an equal string has a smaller place.
@@ -187,7 +216,7 @@ def first_places(
                 first.append(record)
             elif first[-1][1] != record[1]:
                 found.append((None, None, *record[1], len(record[0])))
-        found += [(part, run, *[None] * 5) for part, run in split_run(first, cuts)]
+        found += [(part, run, *[None] * 5) for part, run in split_run(first, *cuts)]
         return table(pa.RecordBatch.from_arrays, found, names, types)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -222,7 +222,7 @@ def _edge_windows(edges: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
             )
 
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("text_hash"), F.col("deals")))
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("text_hash", "start"), F.col("deals")))
     grouped = salted.repartition("mark", "salt").sortWithinPartitions("mark", "salt", *DOC, "start")
     return grouped.mapInArrow(
         look_up, "no_id boolean, doc_id long, text_hash long, start long, end long, string binary"
