@@ -13,8 +13,10 @@ wrapped notices than from others: what a window of lines has besides a notice is
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -153,14 +155,19 @@ class Model:
             family = UNKNOWN
         return family, chance, share
 
-
     def may_hold(self, known: list[int]) -> bool:
         """Whether a text with these n-grams may hold enough of any notice."""
+        have = set(known)
         return any(
-            sum(self.numbers[gram] in have for gram in notice) >= CONFIRMED * len(notice)
-            for have in [set(known)] for _, notice in self.notices
+            len(have) >= CONFIRMED * len(notice) and len(notice & have) >= CONFIRMED * len(notice)
+            for notice in self.numbered
         )
 
+    @cached_property
+    def numbered(self) -> list[frozenset[int]]:
+        """The n-grams of each notice by number."""
+        return [frozenset(self.numbers[gram] for gram in notice) for _, notice in self.notices]
+
     def scan(self, paragraphs: list[str]) -> tuple[int, list[tuple[int, str, float, float]]]:
         """The number of lines with a word and what they hold, `none` aside: (line, family,
         probability, share); a notice over several lines is told of the first.
@@ -191,28 +198,37 @@ class Model:
         return [(start + at, *verdict) for at, *verdict in sorted(found)]
 
     def _windows(self, lines: list[str], single: list) -> list[tuple[int, int, str, float, float]]:
-        """(first line, last line, family, probability, share) of notices over several lines."""
-        words = [split_words(line) for line in lines]
+        """(first line, last line, family, probability, share) of notices over several lines.
+
+        Lines of marks alone belong to what is around them and count for nothing, so a window has
+        as many lines as the longest notice has words at most.
+        """
+        split = [(at, split_words(line)) for at, line in enumerate(lines)]
+        split = [(at, words) for at, words in split if words]
+        places, words = [at for at, _ in split], [some for _, some in split]
         if not self.may_hold(self.known([word for some in words for word in some])):
             return []
         longest = max(len(split_words(notice)) for some in NOTICES.values() for notice in some)
         held = []
-        for first in range(len(lines)):
+        for first in range(len(words)):
             last, inner = first + 1, 0
-            while last < len(lines) and inner <= longest:
+            while last < len(words) and inner <= longest:
                 inner += len(words[last])
                 last += 1
             if not self.may_hold(self.known([word for some in words[first:last] for word in some])):
                 continue
             for end in range(first + 1, last):
-                verdict = self.judge("\n".join(lines[first:end + 1]))
-                own = {of for of, *_ in single[first:end + 1]}
+                verdict = self.judge("\n".join(lines[places[at]] for at in range(first, end + 1)))
+                own = {single[at][0] for at in places[first:end + 1]}
                 if verdict[0] not in (NONE, UNKNOWN) and verdict[0] not in own:
-                    held.append((first, end, *verdict))
-        kept = []
+                    held.append((places[first], places[end], *verdict))
+        kept, taken = [], {}
         for window in sorted(held, key=lambda w: (-w[4], w[1] - w[0], w[0])):
-            meets = ((min(window[1], w[1]) - max(window[0], w[0]) + 1, w[2]) for w in kept)
-            if all(shared <= (0 if family == window[2] else 1) for shared, family in meets):
+            lines_of = range(window[0], window[1] + 1)
+            shared = Counter(other for at in lines_of for other in taken.get(at, ()))
+            if all(count <= (0 if kept[other][2] == window[2] else 1) for other, count in shared.items()):
+                for at in lines_of:
+                    taken.setdefault(at, []).append(len(kept))
                 kept.append(window)
         return kept
 
@@ -303,9 +319,10 @@ def license_scan(
     family, probability, share).
 
     Paragraphs are lines with a word, numbered from 0; every one of every text is judged, and so
-    are lines that follow each other (see `Model.scan`).  Null, empty and blank texts have none.  Bytes that are no UTF-8 count as the replacement character.
-    Repeated rows each give a row; other columns are not read.  Without a model one is trained
-    first, which runs a job.
+    are lines that follow each other (see `Model.scan`).  Null, empty and blank texts have none.
+    Bytes that are no UTF-8 count as the replacement character.  Repeated rows each give a row;
+    other columns are not read.  Of families that are as likely the first by name counts.  A long
+    text costs in proportion to its lines.  Without a model one is trained first, which runs a job.
     """
     model = model or train(corpus_sample(docs, text, sample))
     found_type = pa.list_(pa.struct([

@@ -1,8 +1,10 @@
 """Licence notices that are wrapped over several lines, as file headers have them."""
 
 import textwrap
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from sessionloom.llm import license_scan
 
@@ -46,3 +48,27 @@ def test_column(spark, model):
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
     row = license_scan.license_scan(frame, model=model).collect()[0]
     assert row.n_paragraphs == text.count("\n") and "gpl" in [x.family for x in row.licences]
+
+
+def test_marks_and_long_texts(model):
+    """Lines of marks count for nothing, and a text of 100,000 lines takes seconds."""
+    notice = textwrap.wrap(HEADERS["gpl"], 60)
+    marked = [x for line in notice for x in (line, "-----", "***")]
+    families = lambda lines: [x[1] for x in model.scan(lines)[1] if x[1] != license_scan.UNKNOWN]
+    assert families(notice) == ["gpl"] == families(marked)
+    began = time.monotonic()
+    for filler in ("---", "of the one", "Licensed under the"):
+        count, found = model.scan([*notice, *[filler] * 100_000, *notice])
+        assert count == 100_000 + 2 * len(notice)
+        assert [x[1] for x in found if x[1] == "gpl"] == ["gpl", "gpl"]
+    assert time.monotonic() - began < 60
+
+
+def test_rows_and_clashing_names(spark, model):
+    rows = [(1, "Released under the MIT License.", "x"), (1, "Released under the MIT License.", "x"), (2, None, None), (None, "", "y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, licences string").withColumn("n_paragraphs", F.lit(7))
+    found = license_scan.license_scan(frame, model=model)
+    assert found.columns == ["doc_id", "n_paragraphs", "licences"]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_paragraphs, [x.family for x in r.licences]) for r in found.collect()) == [
+        (False, 1, 1, ["mit"]), (False, 1, 1, ["mit"]), (False, 2, 0, []), (True, 0, 0, []),
+    ]

@@ -125,6 +125,20 @@ def test_index_goes_on(spark, tmp_path):
     assert again.table().count() == 3
 
 
+def test_a_batch_that_is_run_again_gives_the_same_rows(spark, docs, rows):
+    index = exact_dedup.DigestIndex(spark, buckets=3)
+    other = spark.createDataFrame([(77, "known before"), (78, rows[0].text)], "doc_id long, text string")
+    exact_dedup.exact_dedup(other, index)
+    runs = [plain(exact_dedup.exact_dedup(docs, index)) for _ in range(3)]
+    assert runs[0] == runs[1] == runs[2]
+    assert sum(row[3] for row in runs[0]) == len({SPACES.sub(" ", r.text or "") for r in rows} - {SPACES.sub(" ", rows[0].text or "")})
+    named = [plain(exact_dedup.exact_dedup(docs.limit(9), index, batch=name)) for name in ("b", "b", "c")]
+    assert named[0] == named[1] == named[2] and not any(row[3] for row in named[0])
+    index.close()
+    exact_dedup.exact_dedup(docs).count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digests_") and t.name == index.name]
+
+
 def test_index_is_merged_without_a_shuffle(spark, docs):
     index = exact_dedup.DigestIndex(spark, buckets=3)
     exact_dedup.exact_dedup(docs, index)
@@ -282,6 +296,29 @@ def test_mixture_repeats_documents(docs):
         assert key in taken and n >= 1
 
 
+def test_buckets_do_not_change_the_mix(spark, monkeypatch):
+    rows = [(k, " ".join(["word"] * (1 + k * 7 % 23)), f"s{min(k % 7, 2)}") for k in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = []
+    for size in (2000, 20, 5, 1):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", size)
+        found.append(plain(mixing.mix(frame)))
+    assert found[0] == found[1] == found[2] == found[3]
+
+
+def test_mix_without_ids(spark, monkeypatch):
+    """Documents without an id are told apart by their texts, and fill more than one bucket."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    rows = [(None, f"text {k} " * (1 + k % 5), "a" if k % 3 else None) for k in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(frame).collect()
+    assert len(found) == 90 and sum(r.size for r in found) == sum(len(words(text)) for _, text, _ in rows)
+    for source in ("a", None):
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
+        assert max(r.copies for r in own) <= 3
+
+
 # ---- secrets
 
 
@@ -355,6 +392,17 @@ def test_counts_are_cached(spark, docs, rows):
     assert spark.table(cache.name).count() == 2 * stored
 
 
+def test_copies_are_encoded_once(spark, monkeypatch):
+    rows = [(1, "the same text")] * 500 + [(k, "the same text") for k in range(2, 50)] + [(None, "another")] * 9
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    encoded, encode = [], token_counts.encoded_counts
+    monkeypatch.setattr(token_counts, "encoded_counts", lambda rows, *rest: encoded.append(rows.count()) or encode(rows, *rest))
+    before = {t.name for t in spark.catalog.listTables()}
+    found = token_counts.token_counts(frame, PIECES).collect()
+    assert encoded == [2] and len(found) == len(rows)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 # ---- suffix dedup
 
 
@@ -391,6 +439,7 @@ def test_suffix_dedup_of_few_letters(spark, monkeypatch, seed):
     import random
 
     monkeypatch.setattr(sorted_runs, "PART_RECORDS", 300)
+    monkeypatch.setattr(sorted_runs, "MOST_CUTS", 2 if seed == 2 else 20_000)
     monkeypatch.setattr(suffix_dedup, "GROUP_STRETCHES", 1 + 3 * (seed % 2))
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 1000)
     draw = random.Random(seed)
@@ -432,6 +481,40 @@ def test_loser_tree():
         assert after[0] == sorted_runs.common_prefix(before[1], after[1])
 
 
+def test_strings_with_one_beginning_are_cut_apart(spark, monkeypatch):
+    """100,000 different strings that share 24 bytes, sorted and merged in even ranges."""
+    monkeypatch.setattr(sorted_runs, "PART_RECORDS", 10_000)
+    strings = spark.range(100_000).select(
+        F.concat(F.lit("the same twenty-four byte"), F.sha1(F.col("id").cast("string"))).cast("binary").alias("string")
+    )
+    cuts, deals = sorted_runs.cut_strings(strings, 100_000)
+    assert len(cuts) >= 8 and deals == 1 and cuts == sorted(cuts)
+    records = sorted((bytes(row[0]), (False, at, 0, 0)) for at, row in enumerate(strings.collect()))
+    sizes = {part: sum(1 for _ in sorted_runs.run_records(run)) for part, run in sorted_runs.split_run(records, cuts)}
+    assert sum(sizes.values()) == 100_000 and max(sizes.values()) < 20_000 and len(sizes) == len(cuts) + 1
+    monkeypatch.setattr(sorted_runs, "MOST_CUTS", 3)
+    few, deals = sorted_runs.cut_strings(strings, 100_000)
+    assert len(few) <= 3 and deals == 4
+    dealt = list(sorted_runs.split_run(records, few, deals))
+    assert len({part for part, _ in dealt}) == len(dealt) > 9
+    assert sorted(r for _, run in dealt for r in [x[1:] for x in sorted_runs.run_records(run)]) == records
+
+
+def test_a_run_looks_up_few_of_many_cuts():
+    class Counted(list):
+        seen = 0
+
+        def __getitem__(self, at):
+            self.seen += 1
+            return super().__getitem__(at)
+
+    cuts = Counted(b"%08d" % n for n in range(100_000))
+    records = [(b"%08d" % (n * 1000), (False, n, 0, 0)) for n in range(50)]
+    parts = list(sorted_runs.split_run(records, cuts))
+    assert len(parts) == 50 and cuts.seen < 50 * 20
+    assert [r[1] for _, run in parts for r in sorted_runs.run_records(run)] == [r[0] for r in records]
+
+
 def test_anchors_of_equal_windows_agree(monkeypatch):
     import random
 
@@ -523,17 +606,6 @@ def test_components_of_a_path(spark):
     assert {r.node for r in found} == {*range(201), 600} and len({r.root for r in found}) == 1
 
 
-def test_keep_one(docs, rows):
-    prints = [(r.doc_id, brute_fingerprint(r.text)) for r in rows]
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    joined = simhash.simhash(docs).collect()
-    of = {r.fingerprint: r.component_id for r in joined}
-    assert {f"{fp:016x}": least for fp, least in brute_components(prints).items()} == of
-    firsts = [min((i is None, i or 0) for i in some) for some in brute_groups(prints)[0].values()]
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(firsts)
-
-
 # ---- licences
 
 
@@ -564,7 +636,7 @@ def test_license_scan(spark):
     lambda d: bpe.decode(bpe.encode(d, RANKS), RANKS), exact_dedup.exact_dedup, exact_dedup.keep_first,
     quality.quality_rules, quality.keep_good, mixing.mix, mixing.mixture, secrets.secret_scan,
     lambda d: token_counts.token_counts(d, PIECES), suffix_dedup.suffix_dedup, simhash.simhash,
-    simhash.keep_one, license_scan.license_scan,
+    license_scan.license_scan,
 ])
 def test_no_documents(no_docs, run):
     assert run(no_docs).count() == 0
