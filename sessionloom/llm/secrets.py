@@ -13,12 +13,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise
+from sessionloom.session import drop, materialise
 
-from .rows import few, pieces, whole
+from .rows import pieces, whole
 
 KINDS = ["assign", "access", "hex", "learned"]
 
@@ -31,13 +32,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-# Candidates are runs of these characters; shorter ones are not told from words by their format.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Candidates: what labelled values are made of, and as long.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
 
-# Values to learn from, of each kind and of ordinary strings, drawn by hash so that reruns agree,
-# and characters of each: bounds of what the driver gathers.
+# Values to learn from, of each kind and of ordinary strings, drawn by hash so that reruns agree: a
+# bound of what the driver gathers.  Longer values are not drawn, since none is learned in part.
 SAMPLE = 2000
 LEARNED_LENGTH = 200
+# Scores that a task remembers, by format.
+REMEMBERED = 200_000
 # Confidence of a state merge, and mean log likelihood ratio that makes a secret.
 ALPHA = 0.05
 THRESHOLD = 0.5
@@ -63,15 +66,22 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(found, key=lambda span: (span[0], KINDS.index(span[2])))
 
 
-def candidates(text: str, known: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str]]:
-    """start, end and value of strings outside the base matches; those are sorted by start."""
-    found, at, reach = [], 0, 0
+def candidates(text: str, known: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int]]:
+    """start and end of the strings that base matches leave; those are sorted by start.
+
+    A run that a base match touches is cut there, and each part that is long enough is a
+    candidate by itself.
+    """
+    at, reach = 0, 0
     for match in CANDIDATE.finditer(text):
-        while at < len(known) and known[at][0] < match.end():
-            reach, at = max(reach, known[at][1]), at + 1
-        if match.start() >= reach:
-            found.append((match.start(), match.end(), match[0]))
-    return found
+        begin, end = max(match.start(), reach), match.end()
+        while at < len(known) and known[at][0] < end:
+            if known[at][0] - begin >= LEAST["assign"]:
+                yield begin, known[at][0]
+            reach = max(reach, known[at][1])
+            begin, at = max(begin, reach), at + 1
+        if end - begin >= LEAST["assign"]:
+            yield begin, end
 
 
 class Automaton:
@@ -164,87 +174,116 @@ class Automaton:
         return (total + self.logs[state].get("", self.unseen[state])) / (len(coded) + 1)
 
 
-_BASE = "array<struct<start:long,end:long,kind:string,value:string>>"
-_OTHER = "array<struct<start:long,end:long,value:string>>"
-_LEARNED = "array<struct<start:long,end:long,score:double>>"
 _SPAN = [pa.field("start", pa.int64()), pa.field("end", pa.int64())]
-_VALUE = pa.field("value", pa.string())
+_BASE = pa.list_(pa.struct([*_SPAN, pa.field("kind", pa.string())]))
+_LEARNED = pa.list_(pa.struct([*_SPAN, pa.field("score", pa.float64())]))
+
+
+def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return docs.select(F.col(id).alias("doc_id"), whole(F.col(text)).cast("binary").alias("text"))
+
+
+class Least:
+    """The formats of distinct values with the least hashes, a bounded number of them."""
 
+    def __init__(self, most: int):
+        self.most, self.held, self.bound = most, {}, 1 << 63
 
-def extracted(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, base matches and candidates of each row."""
-    base_type = pa.list_(pa.struct([*_SPAN, pa.field("kind", pa.string()), _VALUE]))
-    other_type = pa.list_(pa.struct([*_SPAN, _VALUE]))
+    def add(self, value: str) -> None:
+        place = xxhash.xxh64_intdigest(value.encode()) >> 1
+        if place < self.bound:
+            self.held[place] = value.translate(SYMBOLS)
+            if len(self.held) > 2 * self.most:
+                self.held = dict(sorted(self.held.items())[:self.most])
+                self.bound = max(self.held)
+
+
+def drawn(docs: DataFrame, id: str, text: str, sample: int) -> DataFrame:
+    """kind ("" for ordinary strings), place, format: of each task the values to learn from.
+
+    Formats are symbol classes: no value leaves the task that read it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 1 << 22):
-            base, others = [], []
+        kept = {kind: Least(sample) for kind in ("", *LEAST)}
+        for batch in batches:
             for item in batch.column("text"):
                 content = item.as_py().decode(errors="replace")
                 known = base_spans(content)
-                base.append([dict(zip(("start", "end", "kind", "value"), x, strict=True)) for x in known])
-                others.append([
-                    dict(zip(("start", "end", "value"), x, strict=True))
-                    for x in candidates(content, known)
-                ])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(base, base_type), pa.array(others, other_type)],
-                ["doc_id", "base", "others"],
-            )
+                for _, _, kind, value in known:
+                    if len(value) <= LEARNED_LENGTH:
+                        kept[kind].add(value)
+                for start, end in candidates(content, known):
+                    if end - start <= LEARNED_LENGTH:
+                        kept[""].add(content[start:end])
+        rows = [(kind, *x) for kind, own in kept.items() for x in sorted(own.held.items())[:sample]]
+        kinds, places, formats = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kinds, pa.string()), pa.array(places, pa.int64()), pa.array(formats, pa.string())],
+            ["kind", "place", "format"],
+        )
 
-    rows = docs.select(F.col(id).alias("doc_id"), whole(F.col(text)).cast("binary").alias("text"))
-    shape = rows.select("doc_id", F.lit(None).cast(_BASE).alias("base"), F.lit(None).cast(_OTHER).alias("others"))
-    return rows.mapInArrow(run, shape.schema)
+    return _texts(docs, id, text).select("text").mapInArrow(run, "kind string, place long, format string")
 
 
-def learn(found: DataFrame, sample: int = SAMPLE) -> dict[str, Automaton]:
+def learn(docs: DataFrame, id: str, text: str, sample: int = SAMPLE) -> dict[str, Automaton]:
     """Automata of the labelled kinds, and of ordinary strings under "".
 
-    Learns from at most `sample` distinct values of each, those whose hashes are smallest, and
-    at most LEARNED_LENGTH characters of each; so bounded is also what reaches the driver.
+    Learns from at most `sample` distinct values of each, those whose hashes are smallest in the
+    whole table; so bounded is also what reaches the driver.
     """
-    labelled = found.select(F.explode("base").alias("x")).select("x.kind", "x.value")
-    ordinary = found.select(F.explode("others").alias("x")).select(F.lit("").alias("kind"), "x.value")
+    found = materialise(drawn(docs, id, text, sample), "formats-to-learn")
     automata = {}
     for kind in ["", *LEAST]:
-        rows = ordinary if kind == "" else labelled.where(F.col("kind") == kind)
-        values = rows.select(F.substring("value", 1, LEARNED_LENGTH).alias("value"))
-        distinct = values.agg(F.approx_count_distinct("value")).first()[0]
-        values = (
-            values.where(few("value", distinct, 4 * sample)).distinct()
-            .orderBy(F.xxhash64("value"), "value").limit(sample)
-        )
-        strings = [row.value for row in values.collect()]
+        rows = found.where(F.col("kind") == kind).select("place", "format").distinct()
+        strings = [row.format for row in rows.orderBy("place", "format").limit(sample).collect()]
         if strings:
             automata[kind] = Automaton(strings)
+    drop(found)
     return automata
 
 
-def scored(found: DataFrame, automata: dict[str, Automaton], threshold: float) -> DataFrame:
+def scored(docs: DataFrame, id: str, text: str, automata: dict[str, Automaton], threshold: float) -> DataFrame:
     """doc_id, base and learned spans: candidates that some format makes likely enough."""
     ordinary = automata.get("")
     formats = [automaton for kind, automaton in automata.items() if kind]
-    learned_type = pa.list_(pa.struct([*_SPAN, pa.field("score", pa.float64())]))
+
+    def ratio(coded: str) -> float:
+        if ordinary is None or not formats:
+            return -math.inf
+        return max(a.score(coded) for a in formats) - ordinary.score(coded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            learned = []
-            for item in batch.column("others"):
-                spans = []
-                for x in item.as_py():
-                    coded = x["value"].translate(SYMBOLS)
-                    best = max((a.score(coded) for a in formats), default=-math.inf)
-                    ratio = best - ordinary.score(coded)
-                    if ratio > threshold:
-                        spans.append({"start": x["start"], "end": x["end"], "score": ratio})
+        known_ratios: dict[str, float] = {}
+        for batch in pieces(batches, "text", 1 << 22):
+            base, learned = [], []
+            for item in batch.column("text"):
+                content = item.as_py().decode(errors="replace")
+                known, spans = base_spans(content), []
+                base.append([dict(zip(("start", "end", "kind"), x)) for x in known])
+                coded = content.translate(SYMBOLS)
+                for start, end in candidates(content, known):
+                    form = coded[start:end]
+                    value = known_ratios.get(form)
+                    if value is None:
+                        if len(known_ratios) >= REMEMBERED:
+                            known_ratios.clear()
+                        value = known_ratios[form] = ratio(form)
+                    if value > threshold:
+                        spans.append({"start": start, "end": end, "score": value})
                 learned.append(spans)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("base"), pa.array(learned, learned_type)],
+                [batch.column("doc_id"), pa.array(base, _BASE), pa.array(learned, _LEARNED)],
                 ["doc_id", "base", "learned"],
             )
 
-    shape = found.select("doc_id", "base", F.lit(None).cast(_LEARNED).alias("learned"))
-    return found.mapInArrow(run, shape.schema)
+    rows = _texts(docs, id, text)
+    span = "start:long,end:long"
+    shape = rows.select(
+        "doc_id", F.lit(None).cast(f"array<struct<{span},kind:string>>").alias("base"),
+        F.lit(None).cast(f"array<struct<{span},score:double>>").alias("learned"),
+    )
+    return rows.mapInArrow(run, shape.schema)
 
 
 def secret_scan(
@@ -253,11 +292,12 @@ def secret_scan(
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, base and learned, arrays of spans in code points.
 
-    Base spans have kind and value, learned ones a score; those lie outside the base spans.
-    Null and empty texts have none.  Bytes that are no UTF-8 count as the replacement character.
-    Repeated rows each give a row; other columns are not read.  Without labelled credentials
-    nothing is learned, and base spans remain.  Runs jobs when called, one of them over the
-    texts; candidates are then scored from what it wrote.
+    Base spans have a kind, learned ones a score; those lie outside the base spans and are at least
+    six characters of what values are made of.  Null and empty texts have none.  Bytes that are no
+    UTF-8 count as the replacement character.  Repeated rows each give a row, but a value counts
+    once for learning, and ties of hashes are broken by the format; other columns are not read.  A
+    long text costs in proportion to its length.  Without labelled credentials nothing is learned,
+    and base spans remain.  Runs a job over the texts when called, to learn; the result reads them
+    again.
     """
-    found = materialise(extracted(docs, id, text), "secret-candidates")
-    return scored(found, learn(found, sample), threshold)
+    return scored(docs, id, text, learn(docs, id, text, sample), threshold)
