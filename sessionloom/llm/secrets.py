@@ -41,9 +41,11 @@ SAMPLE = 2000
 LEARNED_LENGTH = 200
 # Scores that a task remembers, by format.
 REMEMBERED = 200_000
-# Confidence of a state merge, and mean log likelihood ratio that makes a secret.
+# Confidence of a state merge, and the log likelihood ratio that makes a secret: its mean by symbol,
+# and its sum, which a few letters do not reach by chance.
 ALPHA = 0.05
 THRESHOLD = 0.5
+EVIDENCE = 8.0
 
 # Formats are told apart by character classes: a-f, g-z, A-F, G-Z, digits, and marks as they are.
 SYMBOLS = str.maketrans(
@@ -230,7 +232,8 @@ def learn(docs: DataFrame, id: str, text: str, sample: int = SAMPLE) -> dict[str
     """Automata of the labelled kinds, and of ordinary strings under "".
 
     Learns from at most `sample` distinct values of each, those whose hashes are smallest in the
-    whole table; so bounded is also what reaches the driver.
+    whole table; so bounded is also what reaches the driver.  Ordinary strings that a format makes
+    likelier may be credentials that no pattern labels: they are learned without in a second round.
     """
     found = materialise(drawn(docs, id, text, sample), "formats-to-learn")
     automata = {}
@@ -239,8 +242,20 @@ def learn(docs: DataFrame, id: str, text: str, sample: int = SAMPLE) -> dict[str
         strings = [row.format for row in rows.orderBy("place", "format").limit(sample).collect()]
         if strings:
             automata[kind] = Automaton(strings)
+            if kind == "":
+                ordinary = strings
     drop(found)
-    return automata
+    return without_credentials(automata, ordinary) if "" in automata else automata
+
+
+def without_credentials(automata: dict[str, Automaton], ordinary: list[str]) -> dict[str, Automaton]:
+    """The automata, that of ordinary strings learned without those that a format makes likelier."""
+    formats = [automaton for kind, automaton in automata.items() if kind]
+    if not formats:
+        return automata
+    usual = automata[""]
+    kept = [x for x in ordinary if max(a.score(x) for a in formats) <= usual.score(x)]
+    return automata | {"": Automaton(kept)} if kept else automata
 
 
 def scored(docs: DataFrame, id: str, text: str, automata: dict[str, Automaton], threshold: float) -> DataFrame:
@@ -269,7 +284,7 @@ def scored(docs: DataFrame, id: str, text: str, automata: dict[str, Automaton],
                         if len(known_ratios) >= REMEMBERED:
                             known_ratios.clear()
                         value = known_ratios[form] = ratio(form)
-                    if value > threshold:
+                    if value > threshold and value * (end - start + 1) > EVIDENCE:
                         spans.append({"start": start, "end": end, "score": value})
                 learned.append(spans)
             yield pa.RecordBatch.from_arrays(

@@ -79,7 +79,8 @@ def make_texts(seed=4, count=260):
     draw = random.Random(seed)
     pick = lambda alphabet, n: "".join(draw.choice(alphabet) for _ in range(n))
     key = lambda: pick(string.ascii_uppercase + string.digits, 4) + "." + pick("0123456789", 6)
-    said = "the tion and ered of it in house over night nothing wherever people".split()
+    parts = "the tion and er ed of it in house over night no thing where ver peo ple".split()
+    said = ["".join(draw.choices(parts, k=draw.randrange(1, 5))) for _ in range(800)]
     texts = [None, "", "password=", "token:'short'", "AKIA", "secret =  \"a.b.c.d\"", "x" * 3000,
              "0123456789abcdef0123456789abcdef-ZZZZYYYYXXXXWWWW1234", "tOKEN: tokentoken: tokentoken",
              "apikey==abcdef passwd='' password: 'p", "AKIA" + "A1" * 20 + "tail-piece", "é" * 9 + "secret=ééé"]
@@ -136,8 +137,8 @@ def test_bare_keys_are_found_by_their_format(scanned):
             if kind == "learned":
                 part = text[int(start):int(end)].strip("-")
                 learned.add(part) if part in bare else None
-                wrong += part in "house over night nothing wherever people".split()
-    assert len(learned) >= 18 and wrong == 0
+                wrong += part.isalpha() and part.islower()
+    assert len(learned) >= 18 and wrong <= 3
 
 
 def test_candidates():
