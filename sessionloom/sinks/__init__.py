@@ -1,9 +1,9 @@
 from .csv import (
-    LoadVerificationError, optimal_partitions, read_features, read_written, write_csv,
-    write_repartitioned, write_verified,
+    LoadVerificationError, check_files, optimal_partitions, read_features, read_written,
+    write_balanced, write_csv, write_listed, write_repartitioned, write_verified,
 )
 
 __all__ = [
-    "LoadVerificationError", "optimal_partitions", "read_features", "read_written", "write_csv",
-    "write_repartitioned", "write_verified",
+    "LoadVerificationError", "check_files", "optimal_partitions", "read_features", "read_written",
+    "write_balanced", "write_csv", "write_listed", "write_repartitioned", "write_verified",
 ]

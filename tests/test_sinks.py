@@ -97,3 +97,72 @@ def test_incomplete_output_is_an_error(spark, tmp_path, monkeypatch):
 def test_empty_output_is_verified(spark, tmp_path):
     report = sinks.write_verified(feature_table(frame(spark, [event("07:00:00", "cart")])), str(tmp_path / "out"))
     assert report["rows"] == 0
+
+
+def test_balanced_files(spark, tmp_path):
+    """Nearly all rows in one partition, none in most, and one job from there."""
+    path = str(tmp_path / "out")
+    skewed = spark.range(20_000).repartition(8, F.when(F.col("id") < 19_900, 0).otherwise(F.col("id")))
+    sinks.write_balanced(skewed, path, rows_per_file=1500)
+    sizes = [row["count"] for row in spark.read.csv(path, header=True).groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1500 and len(sizes) < 22
+    plan = skewed.hint("rebalance")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in plan
+
+
+def listed_output(spark, tmp_path):
+    path = str(tmp_path / "out")
+    features = feature_table(frame(spark, random_events(7))).repartition(3, "product_id")
+    return path, features, sinks.write_listed(features, path, rows_per_file=20)
+
+
+def test_files_that_are_whole(spark, tmp_path):
+    path, features, listed = listed_output(spark, tmp_path)
+    assert sinks.check_files(listed, path, features.schema) == {"rows": features.count(), "files": len(parts(path))}
+    assert len(parts(path)) > 3 and max(row["rows"] for row in listed.collect()) <= 20
+
+
+@pytest.mark.parametrize("damage", ["value", "row", "file", "more"])
+def test_a_damaged_file_is_named(spark, tmp_path, damage):
+    path, features, listed = listed_output(spark, tmp_path)
+    name = sorted(parts(path))[1]
+    lines = open(f"{path}/{name}").read().split("\n")
+    os.remove(f"{path}/.{name}.crc")
+    if damage == "value":
+        lines[2] = lines[2].replace(",", "x,", 1)
+    elif damage == "row":
+        del lines[2]
+    if damage == "file":
+        os.remove(f"{path}/{name}")
+    else:
+        open(f"{path}/{name}", "w").write("\n".join(lines))
+    if damage == "more":
+        open(f"{path}/part-00999-x-c000.csv", "w").write("\n".join(lines))
+    with pytest.raises(sinks.LoadVerificationError) as error:
+        sinks.check_files(listed, path, features.schema)
+    expected = {"file": name[:10], "more": "part-00999-x-c000.csv"}.get(damage, name)
+    assert expected in str(error.value)
+    assert sum(part in str(error.value) for part in parts(path)) == (damage != "file")
+
+
+def test_line_breaks_and_splits(spark, tmp_path):
+    broken = spark.createDataFrame([("a\nb", 1), (None, 2), ("", 3), ('q"\r\n', 4)], "text string, n int")
+    assert sinks.write_verified(broken, str(tmp_path / "broken"))["rows"] == 4
+    listed = sinks.write_listed(broken, str(tmp_path / "listed"))
+    assert sinks.check_files(listed, str(tmp_path / "listed"), broken.schema)["rows"] == 4
+    plain = spark.range(0, 30_000, 1, 1).select("id", F.lit("text").alias("text"))
+    assert sinks.write_verified(plain, str(tmp_path / "plain")) == {"rows": 30_000, "files": 1}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        read = lambda breaks: sinks.read_written(spark, plain.schema, breaks).csv(str(tmp_path / "plain"))
+        assert read(False).rdd.getNumPartitions() > 5 and read(True).rdd.getNumPartitions() == 1
+        assert sinks.write_verified(plain, str(tmp_path / "again"))["rows"] == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_listed_output_without_rows(spark, tmp_path):
+    none = spark.range(0).select("id", F.lit("x").alias("text"))
+    listed = sinks.write_listed(none, str(tmp_path / "none"))
+    assert sinks.check_files(listed, str(tmp_path / "none"), none.schema) == {"rows": 0, "files": 0}
