@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.schema import EVENT_DATE, EVENT_TIME, LANDED_SCHEMA, MONTH, RAW_COLUMNS
-from sessionloom.session import observed, touch
+from sessionloom.session import file_stamps, list_names, observed, remove, touch
 
 from .events import BROKEN, read_checked, typed_columns
 from .months import (
@@ -20,6 +20,9 @@ _MONTH_IN_PATH = r"/(\d{4}-[A-Z][a-z]{2})\.csv"
 # Spark's readers skip folders with a leading underscore.
 _MARKERS = "_landed"
 _REJECTS = "_rejects"
+# Names of files here are a month and the length and time of the file that it was landed from.
+_DELIVERED = "_delivered"
+SKETCHES = "_sketches"
 
 
 class TooManyBrokenError(ValueError):
@@ -30,6 +33,13 @@ def landed_months(spark: SparkSession, zone_dir: str) -> list[str]:
     return listed_months(spark, f"{zone_dir}/{_MARKERS}/*")
 
 
+def _delivered_again(spark: SparkSession, zone_dir: str, given: dict[str, str]) -> list[str]:
+    """Landed months whose raw file is there and is not the one that they were landed from."""
+    known = dict(name.split(".", 1) for name in list_names(spark, f"{zone_dir}/{_DELIVERED}/*"))
+    landed = landed_months(spark, zone_dir)
+    return [name for name in landed if name in known and given.get(f"{name}.csv", known[name]) != known[name]]
+
+
 def land_pending(
     spark: SparkSession, raw_dir: str, zone_dir: str, start: str | datetime, end: str | datetime,
     tolerated: float = 0.01,
@@ -43,7 +53,9 @@ def land_pending(
 
     Each task writes the month of the file split it reads, so nothing is shuffled.  A month
     counts as landed once its marker is there, which is set after the whole write; a run that
-    broke off lands the month again, replacing what it had written.
+    broke off lands the month again, replacing what it had written.  So does a file that was
+    delivered again: one whose length or time is not that of the file the month was landed from.
+    What is known of the month besides, its sketches, goes then too.
 
     A record with too few or too many fields, such as one half of a text with a line break, is no
     event.  Such records go to the folder `_rejects` of the zone, by month, as JSON with their
@@ -55,20 +67,26 @@ def land_pending(
     required = months_in_range(spark, start, end)
     landed = month_frame(spark, landed_months(spark, zone_dir))
     names = month_names(missing_months(required, landed))
+    given = file_stamps(spark, f"{raw_dir}/*.csv")
+    anew = [name for name in _delivered_again(spark, zone_dir, given) if name in month_names(required)]
+    for name in anew:
+        for part in (f"{_MARKERS}/{name}", f"{SKETCHES}/{MONTH}={name}", f"{MONTH}={name}", f"{_REJECTS}/{MONTH}={name}"):
+            remove(spark, f"{zone_dir}/{part}")
+    names = sorted({*names, *anew})
     if not names:
         return {"months": [], "rows": 0, "rejected": 0, "broken": 0}
     require_months(names, listed_months(spark, f"{raw_dir}/*.csv"))
 
     raw = read_checked(spark, [f"{raw_dir}/{name}.csv" for name in names])
     month = F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_PATH, 1)
-    given = F.struct(F.col(EVENT_TIME).isNotNull().alias("time"), F.col("price").isNotNull().alias("price"))
+    written = F.struct(F.col(EVENT_TIME).isNotNull().alias("time"), F.col("price").isNotNull().alias("price"))
     whole = F.col(BROKEN).isNull()
     unparsed = (F.col("_given.time") & F.col(EVENT_TIME).isNull()) | (
         F.col("_given.price") & F.col("price").isNull()
     )
     seen = Observation()
     events = (
-        raw.select(*typed_columns(raw.select(RAW_COLUMNS)), month.alias(MONTH), given.alias("_given"), BROKEN)
+        raw.select(*typed_columns(raw.select(RAW_COLUMNS)), month.alias(MONTH), written.alias("_given"), BROKEN)
         .observe(
             seen, F.count_if(whole).alias("rows"), F.count_if(whole & unparsed).alias("rejected"),
             F.count_if(~whole).alias("broken"),
@@ -92,6 +110,9 @@ def land_pending(
         if report["broken"] > tolerated * (report["rows"] + report["broken"]):
             raise TooManyBrokenError(f"{report['broken']} of the raw records are broken")
     for name in names:
+        for old in list_names(spark, f"{zone_dir}/{_DELIVERED}/{name}.*"):
+            remove(spark, f"{zone_dir}/{_DELIVERED}/{old}")
+        touch(spark, f"{zone_dir}/{_DELIVERED}/{name}.{given[f'{name}.csv']}")
         touch(spark, f"{zone_dir}/{_MARKERS}/{name}")
     return {"months": names, **report}
 

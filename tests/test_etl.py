@@ -71,17 +71,25 @@ def test_a_finished_job_leaves_no_intermediate_tables(spark, raw, tmp_path):
         kept.collect()
 
 
-@pytest.mark.parametrize("settings, set_folder, expected", [
-    ({"spark.checkpoint.dir": "s3://a/b/", "spark.sql.warehouse.dir": "w"}, "c", "s3://a/b"),
-    ({"spark.sql.warehouse.dir": "file:/w/"}, "hdfs:/c", "hdfs:/c"),
-    ({"spark.sql.warehouse.dir": "file:/w/"}, None, "file:/w"),
+@pytest.mark.parametrize("settings, set_folder, master, expected", [
+    ({"spark.checkpoint.dir": "s3://a/b/", "spark.sql.warehouse.dir": "w"}, "c", "yarn", "s3://a/b"),
+    ({"spark.sql.warehouse.dir": "file:/w/"}, "hdfs:/c", "yarn", "hdfs:/c"),
+    ({"spark.sql.warehouse.dir": "file:/w/"}, None, "local[4]", "file:/w"),
+    ({"spark.sql.warehouse.dir": "hdfs://n/w"}, None, "local-cluster[3,2,900]", "hdfs://n/w"),
+    ({"spark.sql.warehouse.dir": "file:/w/"}, None, "local-cluster[3,2,900]", None),
+    ({"spark.sql.warehouse.dir": "w"}, None, "spark://host:7077", None),
 ])
-def test_the_folder_needs_no_setting(settings, set_folder, expected):
+def test_the_folder_needs_no_setting(settings, set_folder, master, expected):
+    """But on a cluster it is never one that only a machine has."""
     session = SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
-        sparkContext=SimpleNamespace(getCheckpointDir=lambda: set_folder),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: set_folder, master=master),
     )
-    assert shared_dir(session) == expected
+    if expected is None:
+        with pytest.raises(ValueError, match="share"):
+            shared_dir(session)
+    else:
+        assert shared_dir(session) == expected
 
 
 def test_counts_of_a_run(spark, events, raw, tmp_path):
@@ -95,8 +103,8 @@ def test_counts_of_a_run(spark, events, raw, tmp_path):
     found = {r.step: r.row_count for r in step_counts(loaded, START, END).collect()}
     kept = date_range(cleaned, START, END)
     assert found == {
-        "extraction": loaded.count(), "cleaning": cleaned.count(), "date filters": kept.count(),
-        "features per product": features_product(kept).count(),
+        "loaded": loaded.count(), "of one user": cleaned.count(), "in range": kept.count(),
+        "product rows": features_product(kept).count(),
     }
 
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.operators import distinct_in_months, sketch_pending
 from sessionloom.schema import RAW_COLUMNS
 from sessionloom import sources
 
@@ -162,3 +163,23 @@ def test_a_sample_keeps_whole_sessions(spark):
     assert sources.sample_sessions(events, 0).count() == 0
     with pytest.raises(ValueError):
         sources.in_sample(1.5)
+
+
+def test_a_month_that_is_delivered_again_is_landed_again(spark, tmp_path):
+    raw, zone, span = tmp_path / "raw", str(tmp_path / "zone"), ("2019-10-01 00:00:00", "2019-11-30 00:00:00")
+    write(raw, "2019-Oct.csv", line("2019-10-01 00:00:00"), line("2019-10-02 00:00:00"))
+    write(raw, "2019-Nov.csv", line("2019-11-01 00:00:00"))
+    assert sources.land_pending(spark, str(raw), zone, *span)["months"] == ["2019-Nov", "2019-Oct"]
+    sketch_pending(spark, zone, ["user_id", "user_session"])
+    assert sources.land_pending(spark, str(raw), zone, *span)["months"] == []
+    write(raw, "2019-Oct.csv", line("2019-10-03 00:00:00", session="other"))
+    # A range without the month leaves it alone.
+    assert sources.land_pending(spark, str(raw), zone, "2019-11-01 00:00:00", span[1])["months"] == []
+    assert sources.land_pending(spark, str(raw), zone, *span)["months"] == ["2019-Oct"]
+    found = sources.read_landed(spark, zone, *span)
+    assert sorted(row["user_session"] for row in found.collect()) == ["other", "s1"]
+    assert sketch_pending(spark, zone, ["user_id", "user_session"]) == ["2019-Oct"]
+    counts = {row["field"]: row["distinct"] for row in distinct_in_months(spark, zone, *span).collect()}
+    assert counts == {"user_id": 1, "user_session": 2}
+    (raw / "2019-Oct.csv").unlink()
+    assert sources.land_pending(spark, str(raw), zone, *span)["months"] == []
