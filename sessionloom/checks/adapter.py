@@ -9,6 +9,8 @@ from sessionloom.schema import RAW_COLUMNS
 
 # Range used by the date-limited queries.
 START, END = "2024-01-05 00:00:00", "2024-01-25 00:00:00"
+# Where it is cut into two ranges: the end of the first and the start of the second.
+MIDDLE = "2024-01-15 11:59:59", "2024-01-15 12:00:00"
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:

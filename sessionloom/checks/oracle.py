@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .adapter import END, START
+from .adapter import END, MIDDLE, START
 from .queries import MONTHS_END, MONTHS_START, SAMPLE
 
 EVENTS = """
@@ -99,12 +99,12 @@ ORDER BY event_time, brand NULLS FIRST, price, user_id LIMIT 1000
 """
 
 
-def _top_values() -> str:
+def _top_values(fields: tuple[str, ...] = ("event_type", "category_code", "brand")) -> str:
     per_field = [
         f"""SELECT '{field}' AS field, value, frequency FROM (
               SELECT {field} AS value, count(*) AS frequency FROM ev GROUP BY {field}
               ORDER BY frequency DESC, value NULLS FIRST LIMIT 5)"""
-        for field in ("event_type", "category_code", "brand")
+        for field in fields
     ]
     return f"{EV} {' UNION ALL '.join(per_field)}"
 
@@ -123,6 +123,20 @@ FROM {table}
 """
 
 
+def _two_ranges() -> str:
+    """Features of the second range in one computation over both, in which a session that the cut
+    divides is one in either."""
+    divided = f"""
+SELECT * REPLACE (CASE WHEN user_session IS NOT NULL
+    THEN concat(CASE WHEN event_time >= TIMESTAMP '{MIDDLE[1]}' THEN '2' ELSE '1' END, user_session) END AS user_session)
+FROM ({EVENTS}) e WHERE user_session IS NULL OR user_session NOT IN (
+  SELECT user_session FROM (SELECT DISTINCT user_session, user_id FROM ({EVENTS}))
+  WHERE user_session IS NOT NULL GROUP BY user_session HAVING count(*) > 1)"""
+    return f"""{steps(events=divided)}
+SELECT * EXCLUDE (temp_start_dt, temp_end_dt) REPLACE (substr(user_session, 2) AS user_session)
+FROM history WHERE user_session LIKE '2%'"""
+
+
 ORACLES = {
     "src_csv_strings": f"""{EV}
         SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, event_type, product_id,
@@ -145,16 +159,23 @@ ORACLES = {
         WHERE CAST('0x' || substr(md5(coalesce(user_session, user_id, '')), 1, 8) AS BIGINT) < {SAMPLE} * 4294967296""",
     "snk_csv_overwrite": EVENT_ROWS,
     "snk_repartition": f"{EV} SELECT count(*) AS rows, greatest(10, count(*) // 200000) AS files FROM ev",
+    "snk_rebalance": f"{EV} SELECT count(*) AS rows, TRUE AS bounded FROM ev",
+    "snk_verify_files": f"{STEPS} SELECT count(*) AS written, count(*) AS found, TRUE AS bounded FROM history",
     "snk_verify": f"{STEPS} SELECT count(*) AS written, count(*) AS found FROM history",
     "snk_compression": f"{EV} SELECT count(*) AS rows, TRUE AS compressed FROM ev",
     "prof_row_count": f"""{STEPS}
-        SELECT 'extraction' AS step, count(*) AS row_count FROM ev
-        UNION ALL SELECT 'cleaning', count(*) FROM cleaned
-        UNION ALL SELECT 'date filters', count(*) FROM kept
-        UNION ALL SELECT 'features per product', count(*) FROM per_product""",
+        SELECT 'loaded' AS step, count(*) AS row_count FROM ev
+        UNION ALL SELECT 'of one user', count(*) FROM cleaned
+        UNION ALL SELECT 'in range', count(*) FROM kept
+        UNION ALL SELECT 'product rows', count(*) FROM per_product""",
     "prof_non_null": _counts("IS NOT NULL"),
     "prof_null": _counts("IS NULL"),
     "prof_top_values": _top_values(),
+    "prof_frequent_values": _top_values(("user_session", "user_id", "product_id")),
+    "prof_distinct_sketches": f"WITH ev AS ({THREE_MONTHS}) " + " UNION ALL ".join(
+        f"SELECT '{field}' AS field, count(DISTINCT {field}) AS \"distinct\" FROM ev"
+        for field in ("product_id", "user_id", "user_session", "event_type", "category_code", "brand")
+    ),
     "prof_approx_distinct": " UNION ALL ".join(
         f"SELECT '{field}' AS field, TRUE AS holds"
         for field in ("product_id", "user_id", "user_session", "event_type", "category_code", "brand")
@@ -162,7 +183,8 @@ ORACLES = {
     "prof_top_values_wide": f"""{EV}, top AS (
           SELECT coalesce(brand, 'null') AS label, count(*) AS n FROM ev GROUP BY brand
           ORDER BY n DESC, brand NULLS FIRST LIMIT 3)
-        SELECT 'frequency' AS brand, * FROM (PIVOT top ON label USING max(n))""",
+        SELECT 'frequency' AS brand, max(n) FILTER (label = 'brand1') AS brand1,
+               max(n) FILTER (label = 'brand3') AS brand3, max(n) FILTER (label = 'null') AS "null" FROM top""",
     "prof_dup_impact": f"""{STEPS}
         SELECT count(*) AS rows_to_delete, count(*) / (SELECT count(*) FROM ev) * 100 AS percent_to_delete
         {SHARED_ROWS}""",
@@ -219,6 +241,13 @@ ORACLES = {
                  min(event_time) AS temp_start_dt
           FROM ev GROUP BY user_session, user_id, product_id
         )""",
+    "win_session_level": f"""{STEPS}
+        SELECT * EXCLUDE (temp_start_dt, temp_end_dt, num_prev_product_views),
+               CAST(coalesce(sum(num_views_product) OVER (
+                 PARTITION BY product_id, user_id ORDER BY temp_start_dt, user_session
+                 GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS num_prev_product_views
+        FROM history""",
+    "win_history_start": _two_ranges(),
     "fn_time_hhmm": f"{EV} SELECT {KEYS}, strftime(event_time, '%H:%M') AS start_time FROM ev",
     "fn_weekday": f"{EV} SELECT {KEYS}, strftime(event_time, '%A') AS start_weekday FROM ev",
     "fn_epoch_diff": f"{EV} SELECT user_session, user_id, duration FROM ({per_session('ev')})",

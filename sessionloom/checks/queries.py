@@ -17,7 +17,7 @@ from sessionloom.plans.etl import computed_once, first_views
 from sessionloom.schema import PRODUCT_ATTRIBUTES, RAW_COLUMNS
 from sessionloom.session import list_names, materialise, move, new_path
 
-from .adapter import END, START, clickstream
+from .adapter import END, MIDDLE, START, clickstream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +184,32 @@ def snk_repartition(spark, sf_dir):
     return file_report(spark, path)
 
 
+@query
+def snk_rebalance(spark, sf_dir):
+    """A third of the rows in one partition before the write; no file above the bound after it."""
+    events = clickstream(spark, sf_dir)
+    path, bound = new_path(spark, "balanced"), 2000
+    skewed = events.repartition(8, F.when(F.col("user_id").cast("int") % 3 == 0, 0).otherwise(F.col("user_id")))
+    sinks.write_balanced(skewed, path, rows_per_file=bound)
+    files = spark.read.csv(path, header=True).groupBy("_metadata.file_path").count()
+    return files.agg(
+        F.sum("count").alias("rows"), (F.max("count") <= bound).alias("bounded"),
+    )
+
+
+@query
+def snk_verify_files(spark, sf_dir):
+    """Each file by itself against the list that its write made."""
+    path = new_path(spark, "listed")
+    features = feature_table(clickstream(spark, sf_dir), START, END)
+    listed = sinks.write_listed(features, path, rows_per_file=1000)
+    report = sinks.check_files(listed, path, features.schema)
+    return listed.agg(
+        F.sum("rows").alias("written"), F.lit(report["rows"]).cast("long").alias("found"),
+        (F.max("rows") <= 1000).alias("bounded"),
+    )
+
+
 @query
 def snk_verify(spark, sf_dir):
     path = new_path(spark, "verified")
@@ -228,6 +254,20 @@ def prof_approx_distinct(events):
     return op.approx_distinct_holds(events, fields)
 
 
+@query
+def prof_distinct_sketches(spark, sf_dir):
+    """From sketches of landed months; these few values they count exactly."""
+    raw, zone = monthly_files(over_three_months(clickstream(spark, sf_dir))), new_path(spark, "zone")
+    sources.land_pending(spark, raw, zone, MONTHS_START, MONTHS_END)
+    op.sketch_pending(spark, zone, ["product_id", "user_id", "user_session", "event_type", "category_code", "brand"])
+    return op.distinct_in_months(spark, zone, MONTHS_START, MONTHS_END)
+
+
+@on_events
+def prof_frequent_values(events):
+    return op.frequent_values(events, ["user_session", "user_id", "product_id"])
+
+
 @on_events
 def prof_top_values(events):
     return op.top_values(events, ["event_type", "category_code", "brand"])
@@ -251,7 +291,8 @@ def prof_top_pair(events):
 
 @on_events
 def prof_pair_history(events):
-    return op.top_pair_history(history_features(events))
+    kept = in_range(op.clean_sessions(events))
+    return op.top_pair_history(op.features_product(kept), op.features_session(kept))
 
 
 # ---- projections, filters, predicates
@@ -428,6 +469,21 @@ def win_running_sum(events):
     )
 
 
+@on_events
+def win_session_level(events):
+    """Variants of a product in one session do not see each other's views."""
+    return feature_table(events, START, END, session_level=True)
+
+
+@on_events
+def win_history_start(events):
+    """The second of two ranges; what the first leaves behind is its history."""
+    history = op.History(events.sparkSession, new_path(events.sparkSession, "history"))
+    before, after = MIDDLE
+    feature_table(events, START, before, history=history)
+    return feature_table(events, after, END, history=history)
+
+
 # ---- scalar functions
 
 

@@ -23,9 +23,29 @@ def users_of_sessions(events: DataFrame) -> DataFrame:
     return pairs.groupBy(SESSION).agg(F.count(F.lit(1)).alias("users"), F.sum("rows").alias("rows"))
 
 
+def user_spread(events: DataFrame) -> DataFrame:
+    """For each session its rows, and whether it has `many` users, in one aggregate and shuffle.
+
+    Users are told apart by two hashes of 64 bits, whose least and greatest values differ if there
+    are several; numbers are combined by a hash aggregate within tasks, which texts are not.  A
+    null user counts as one.  Neither a session nor a user with very many rows meets in one task.
+    """
+    hashes = {"_one": F.xxhash64(USER), "_two": F.xxhash64(F.lit("user"), USER)}
+    known = F.when(F.col(USER).isNotNull(), 1)
+    spread = events.select(SESSION, USER).withColumns(hashes).groupBy(SESSION).agg(
+        *[F.min(F.when(F.col(USER).isNotNull(), F.col(name))).alias(f"{name}_low") for name in hashes],
+        *[F.max(F.when(F.col(USER).isNotNull(), F.col(name))).alias(f"{name}_high") for name in hashes],
+        F.count(known).alias("_known"), F.count(F.lit(1)).alias("rows"),
+    )
+    differ = [F.col(f"{name}_low") < F.col(f"{name}_high") for name in hashes]
+    some_null = (F.col("_known") > 0) & (F.col("_known") < F.col("rows"))
+    many = F.coalesce(differ[0], F.lit(False)) | F.coalesce(differ[1], F.lit(False)) | some_null
+    return spread.select(SESSION, "rows", many.alias("many"))
+
+
 def is_shared() -> Column:
-    """Of a row of `users_of_sessions`: a session with more than one user."""
-    return F.col(SESSION).isNotNull() & (F.col("users") > 1)
+    """Of a row of `user_spread`: a session with more than one user."""
+    return F.col(SESSION).isNotNull() & F.col("many")
 
 
 def multi_user_sessions(events: DataFrame) -> DataFrame:
@@ -43,7 +63,7 @@ def clean_sessions(events: DataFrame, counts: dict[str, int] | None = None) -> D
     be large, it joins by shuffle instead.  Events without a session match nothing, but may be
     many; a second key deals them evenly then.
     """
-    sessions = users_of_sessions(events)
+    sessions = user_spread(events)
     seen = Observation()
     if counts is not None:
         dropped = F.sum(F.when(is_shared(), F.col("rows")))

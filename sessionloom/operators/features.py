@@ -13,7 +13,7 @@ from sessionloom.functions import (
     as_flag, hhmm, is_product_event, is_purchase, is_view, seconds_between, weekday,
 )
 from sessionloom.schema import EVENT_TIME, PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER
-from sessionloom.session import materialise
+from sessionloom.session import bucketed, materialise
 
 from .clean import product_events
 from .history import HEAVY_GROUP_ROWS, heavy_keys, running_total, sliced_total
@@ -102,33 +102,61 @@ def _numbered(spans: DataFrame, total, **options) -> DataFrame:
 
 
 def features_session_product(
+    per_product: DataFrame, per_session: DataFrame, heavy_limit: int = HEAVY_GROUP_ROWS,
+    session_level: bool = False,
+) -> DataFrame:
+    """Product rows with their session's features and the user's earlier views of the product,
+    with `session_level` those in earlier sessions only.
+
+    Runs jobs when called: both inputs are written by buckets (`joined_steps`), and pairs of user
+    and product with too many rows for one task, which need another way, are counted there.
+    """
+    joined = joined_steps(per_product, per_session, heavy_limit)
+    heavy = heavy_keys(joined, [USER, PRODUCT], heavy_limit)
+    return with_product_history(
+        joined, running_total, session_level, heavy=heavy, limit=heavy_limit
+    )
+
+
+def joined_steps(
     per_product: DataFrame, per_session: DataFrame, heavy_limit: int = HEAVY_GROUP_ROWS
 ) -> DataFrame:
-    """Product rows with their session's features and the user's earlier views of the product.
+    """Product rows with their session's features.
 
-    The join stays a plain inner join: adaptive execution splits a session that is too large.
-    Pairs of user and product with too many rows for one task are found by a join of the three
-    key columns, counted and not written.
+    Both inputs are computed once and written by buckets of the session, so that neither this join
+    nor what counts its rows shuffles them.  Should a session have too many product rows for one
+    bucket, the same files are joined by a shuffle, which adaptive execution splits.  Rows without
+    a session join nothing and are left out before.
     """
-    keys = per_product.select(SESSION, PRODUCT).join(per_session.select(SESSION, USER), SESSION)
-    heavy = heavy_keys(keys, [USER, PRODUCT], heavy_limit)
-    joined = per_product.join(per_session, SESSION)
-    return with_product_history(joined, running_total, heavy=heavy, limit=heavy_limit)
+    has_session = F.col(SESSION).isNotNull()
+    left = bucketed(per_product.where(has_session), "per-product", [SESSION])
+    right = bucketed(per_session.where(has_session), "per-session", [SESSION])
+    if heavy_keys(left, [SESSION], heavy_limit) is not None:
+        read = left.sparkSession.read
+        left, right = (read.schema(x.schema).parquet(x.written_to) for x in (left, right))
+    return left.join(right, SESSION).select(
+        SESSION, *[x for x in left.columns if x != SESSION], *[x for x in right.columns if x != SESSION]
+    )
 
 
-def with_product_history(joined: DataFrame, total, **options) -> DataFrame:
+def with_product_history(joined: DataFrame, total, session_level: bool = False, **options) -> DataFrame:
+    """Views in earlier rows or, `session_level`, in earlier sessions only: variants of a product
+    in one session then do not see each other."""
     return total(
         joined,
         [USER, PRODUCT],
         PRODUCT_ORDER,
         F.col("num_views_product"),
         "num_prev_product_views",
+        apart=len(SESSION_ORDER) if session_level else 0,
         **options,
     )
 
 
-def composed_features(rows: DataFrame, total=sliced_total, **options) -> DataFrame:
+def composed_features(
+    rows: DataFrame, total=sliced_total, session_level: bool = False, **options
+) -> DataFrame:
     """All three steps on visits of cleaned events, with the given running total."""
     per_product = rows.where(TOUCHED).drop(USER, TOUCHED, FIRST, LAST)
     joined = per_product.join(_numbered(spans_of_visits(rows), total, **options), SESSION)
-    return with_product_history(joined, total, **options).drop(START, END)
+    return with_product_history(joined, total, session_level, **options).drop(START, END)

@@ -49,25 +49,38 @@ def running_total(
     name: str,
     heavy: DataFrame | None = None,
     limit: int = HEAVY_GROUP_ROWS,
+    apart: int = 0,
 ) -> DataFrame:
     """Adds `name`: the sum of `value` over rows of the same `keys` ordered strictly earlier.
 
     `keys` and `order` together must identify a row, nulls sort first, and the first row of a
     group gets 0.  Null keys form a group.  `heavy` lists keys (some of `keys`) whose groups
-    exceed one task.
+    exceed one task.  With `apart`, rows that agree in so many first columns of `order` are peers,
+    which do not count towards each other, however the rest of `order` sorts them.
     """
     if heavy is None:
-        return _windowed(rows, keys, order, value, name)
-    light = _windowed(without_keys(rows, heavy), keys, order, value, name)
-    sliced = sliced_total(with_keys(rows, heavy), keys, order, value, name, limit=limit)
+        return _windowed(rows, keys, order, value, name, apart)
+    light = _windowed(without_keys(rows, heavy), keys, order, value, name, apart)
+    sliced = sliced_total(
+        with_keys(rows, heavy), keys, order, value, name, limit=limit, apart=apart
+    )
     return light.unionByName(sliced)
 
 
-def _windowed(rows, keys, order, value, name) -> DataFrame:
-    earlier = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return rows.withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("long"))
+def earlier_sum(keys: list[str], order: list[str], value: Column, apart: int = 0) -> Column:
+    """The window expression of `running_total`."""
+    if not apart:
+        rows = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(rows), F.lit(0)).cast("long")
+    # All up to the last peer, less the peers; both windows need one sort.
+    peers = order[:apart]
+    so_far = Window.partitionBy(*keys).orderBy(*peers).rangeBetween(Window.unboundedPreceding, 0)
+    own = F.coalesce(F.sum(value).over(Window.partitionBy(*keys, *peers)), F.lit(0))
+    return (F.coalesce(F.sum(value).over(so_far), F.lit(0)) - own).cast("long")
+
+
+def _windowed(rows, keys, order, value, name, apart=0) -> DataFrame:
+    return rows.withColumn(name, earlier_sum(keys, order, value, apart))
 
 
 def sliced_total(
@@ -78,6 +91,7 @@ def sliced_total(
     name: str,
     slices: int | None = None,
     limit: int = HEAVY_GROUP_ROWS,
+    apart: int = 0,
 ) -> DataFrame:
     """`running_total` that divides the rows evenly between tasks, whatever their keys.
 
@@ -86,7 +100,8 @@ def sliced_total(
     key and order, which cuts a large key into consecutive slices, and written so that the cut
     is fixed.  A row's total is the running total in
     its slice plus the sum of the key's earlier slices.  There is one such sum per key and
-    slice it touches: at most one per slice and one per key.
+    slice it touches: at most one per slice and one per key.  Of peers that a cut divides, those
+    in later slices leave out the ones in earlier slices: see `_cut_peers`.
     """
     whole = materialise(rows, "to-slice")
     slices = slices or max(1, -(-whole.count() // max(1, min(limit, SLICE_ROWS))))
@@ -97,6 +112,7 @@ def sliced_total(
         spread.select(
             "*",
             F.struct(*keys).alias("_key"),
+            *([F.struct(*order[:apart]).alias("_peers")] if apart else []),
             F.spark_partition_id().alias("_slice"),
             value.cast("long").alias("_value"),
         ),
@@ -114,7 +130,30 @@ def sliced_total(
             F.coalesce(F.sum("_sum").over(earlier_slices), F.lit(0)).alias("_offset"),
         )
     )
-    in_slice = _windowed(cut, ["_key", "_slice"], order, F.col("_value"), "_within")
-    return in_slice.join(offsets, ["_key", "_slice"]).select(
-        *rows.columns, (F.col("_within") + F.col("_offset")).alias(name)
+    in_slice = _windowed(cut, ["_key", "_slice"], order, F.col("_value"), "_within", apart)
+    joined = in_slice.join(offsets, ["_key", "_slice"])
+    total = F.col("_within") + F.col("_offset")
+    if apart:
+        joined = joined.join(_cut_peers(cut), ["_key", "_slice", "_peers"], "left")
+        total = total - F.coalesce("_before", F.lit(0))
+    return joined.select(*rows.columns, total.alias(name))
+
+
+def _cut_peers(cut: DataFrame) -> DataFrame:
+    """_key, _slice, _peers, _before: for peers that earlier slices hold too, their sum there.
+
+    Only the first and the last peers of a key in a slice can go on in another, so there are two
+    rows at most for each key and slice.
+    """
+    ends = cut.groupBy("_key", "_slice").agg(F.min("_peers").alias("first"), F.max("_peers").alias("last"))
+    ends = ends.select("_key", "_slice", F.explode(F.array_distinct(F.array("first", "last"))).alias("_peers"))
+    sums = cut.join(ends, ["_key", "_slice", "_peers"], "left_semi").groupBy("_key", "_slice", "_peers").agg(
+        F.sum("_value").alias("_sum")
+    )
+    earlier = (
+        Window.partitionBy("_key", "_peers").orderBy("_slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return sums.select("_key", "_slice", "_peers", F.sum("_sum").over(earlier).alias("_before")).where(
+        F.col("_before").isNotNull()
     )

@@ -14,8 +14,9 @@ from sessionloom.functions import is_product_event
 from sessionloom.schema import PRODUCT, PRODUCT_ATTRIBUTES, SESSION, USER
 from sessionloom.session import materialise
 
-from .clean import is_shared, since, until, users_of_sessions
-from .history import with_keys
+from .clean import is_shared, since, until, user_spread
+from .features import START, joined_steps, with_product_history
+from .history import HEAVY_GROUP_ROWS, heavy_keys, running_total, with_keys
 
 
 def step_counts(
@@ -27,7 +28,7 @@ def step_counts(
     flagged, events are counted per product row and flags, and those counts are added up.
     """
     bad = materialise(
-        users_of_sessions(events).where(is_shared()).select(SESSION, F.lit(True).alias("_shared")),
+        user_spread(events).where(is_shared()).select(SESSION, F.lit(True).alias("_shared")),
         "shared-sessions",
     )
     ranges = [since(start)] if start is not None else []
@@ -42,10 +43,10 @@ def step_counts(
     kept = F.col("_clean") & F.col("_inside")
     none = F.lit(0).cast("long")
     counts = grouped.agg(
-        F.coalesce(F.sum("_rows"), none).alias("extraction"),
-        F.coalesce(F.sum(F.when(F.col("_clean"), F.col("_rows"))), none).alias("cleaning"),
-        F.coalesce(F.sum(F.when(kept, F.col("_rows"))), none).alias("date filters"),
-        F.count_if(kept & F.col("_touched")).alias("features per product"),
+        F.coalesce(F.sum("_rows"), none).alias("loaded"),
+        F.coalesce(F.sum(F.when(F.col("_clean"), F.col("_rows"))), none).alias("of one user"),
+        F.coalesce(F.sum(F.when(kept, F.col("_rows"))), none).alias("in range"),
+        F.count_if(kept & F.col("_touched")).alias("product rows"),
     )
     return counts.unpivot([], counts.columns, "step", "row_count")
 
@@ -95,6 +96,37 @@ def top_values(df: DataFrame, fields: list[str], k: int = 5) -> DataFrame:
     )
 
 
+def frequent_values(df: DataFrame, fields: list[str], k: int = 5, buckets: int = 1 << 16) -> DataFrame:
+    """The rows of `top_values`, for fields of very many values, of which few are shuffled.
+
+    Rows are first counted by hash buckets of the values, a summary of fixed size that tasks add
+    up.  A value occurs at most as often as its bucket.  The values of the fullest buckets are
+    counted, and the k-th count among them is one that a top value reaches; so only values of
+    buckets that reach it are counted, exactly.  Reads the fields three times and runs jobs.
+    """
+    listed = df.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("field"), F.col(n).cast("string").alias("value")) for n in fields
+    ])).alias("pair")).select("pair.*")
+    listed = listed.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)))
+    loads = materialise(listed.groupBy("field", "bucket").agg(F.count(F.lit(1)).alias("load")), "bucket-loads")
+
+    def ranked(counts: DataFrame, by: str, ties: str) -> DataFrame:
+        best = Window.partitionBy("field").orderBy(F.col(by).desc(), F.col(ties).asc_nulls_first())
+        return counts.withColumn("_rank", F.row_number().over(best))
+
+    def counted(among: DataFrame) -> DataFrame:
+        kept = listed.join(among.select("field", "bucket"), ["field", "bucket"], "left_semi")
+        return kept.groupBy("field", "value").agg(F.count(F.lit(1)).alias("frequency"))
+
+    fullest = materialise(ranked(loads, "load", "bucket").where(F.col("_rank") <= 4 * k), "fullest-buckets")
+    reached = ranked(counted(fullest), "frequency", "value").where(F.col("_rank") == k)
+    reached = materialise(reached.select("field", F.col("frequency").alias("least")), "reached")
+    among = materialise(
+        loads.join(reached, "field", "left").where(F.col("load") >= F.coalesce("least", F.lit(0))), "full-buckets"
+    )
+    return ranked(counted(among), "frequency", "value").where(F.col("_rank") <= k).drop("_rank")
+
+
 def top_values_wide(df: DataFrame, field: str, k: int = 5, null_label: str = "null") -> DataFrame:
     """`top_values` of one field as a single row with one column per value.
 
@@ -115,7 +147,7 @@ def dup_impact(events: DataFrame) -> DataFrame:
     Adds up counts per session instead of joining the events with a list of sessions.
     """
     to_delete = F.coalesce(F.sum(F.when(is_shared(), F.col("rows"))), F.lit(0))
-    return users_of_sessions(events).agg(
+    return user_spread(events).agg(
         to_delete.alias("rows_to_delete"),
         (to_delete / F.sum("rows") * 100).alias("percent_to_delete"),
     )
@@ -130,14 +162,19 @@ def top_pair(features: DataFrame) -> DataFrame:
     )
 
 
-def top_pair_history(features: DataFrame) -> DataFrame:
+def top_pair_history(
+    per_product: DataFrame, per_session: DataFrame, heavy_limit: int = HEAVY_GROUP_ROWS
+) -> DataFrame:
     """The history features of the top pair, to check them by eye.
 
-    The pair stays a one-row DataFrame; nothing passes through the driver.
+    The pair is found in the keys of the joined steps, and the running total is computed for its
+    rows alone.  It stays a one-row DataFrame; nothing passes through the driver.
     """
-    features = materialise(features, "features")
-    pair = materialise(top_pair(features).select(USER, PRODUCT), "top-pair")
-    return with_keys(features, pair).select(
-        "num_prev_sessions", "num_views_product", "num_prev_product_views", "start_time",
-        "temp_start_dt",
+    joined = joined_steps(per_product, per_session, heavy_limit)
+    pair = materialise(top_pair(joined).select(USER, PRODUCT), "top-pair")
+    rows = with_keys(joined, pair)
+    heavy = heavy_keys(rows, [USER, PRODUCT], heavy_limit)
+    history = with_product_history(rows, running_total, heavy=heavy, limit=heavy_limit)
+    return history.select(
+        "num_prev_sessions", "num_views_product", "num_prev_product_views", "start_time", START
     )

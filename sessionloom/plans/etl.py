@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionloom.operators import HEAVY_GROUP_ROWS, views
+from sessionloom.operators import HEAVY_GROUP_ROWS, History, views
 from sessionloom.session import build_session, drop_tables, materialise, new_path
 from sessionloom.sinks import write_verified
 from sessionloom.sources import check_range, land_pending, read_landed, read_typed, sample_sessions
@@ -31,6 +31,8 @@ class RunConfig:
     rows_per_file: int | None = None  # None: files are sized by bytes
     compression: str | None = None
     heavy_limit: int = HEAVY_GROUP_ROWS
+    history_dir: str | None = None  # totals of earlier runs, extended by this one; None: none
+    session_level: bool = False  # earlier views are those of earlier sessions only
 
 
 MINIMAL_COLUMNS = ["event_time", "brand", "price", "user_id"]
@@ -59,7 +61,10 @@ def etl_run(spark: SparkSession, config: RunConfig) -> dict:
     if config.sample is not None:
         events = sample_sessions(events, config.sample)
     counts: dict[str, int] = {}
-    features = feature_table(events, config.start, config.end, config.heavy_limit, counts)
+    history = History(spark, config.history_dir) if config.history_dir else None
+    features = feature_table(
+        events, config.start, config.end, config.heavy_limit, counts, history, config.session_level
+    )
     logging.info("rows: %s", counts)
 
     report = write_verified(features, config.destination, config.compression, config.rows_per_file)
@@ -100,6 +105,8 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--compression")
     parser.add_argument("--rows-per-file", type=int)
     parser.add_argument("--heavy-limit", type=int, default=RunConfig.heavy_limit)
+    parser.add_argument("--history-dir", help="totals of earlier runs, extended by this one")
+    parser.add_argument("--session-level", action="store_true", help="earlier views only of earlier sessions")
     given = parser.parse_args(arguments)
     config = RunConfig(
         raw_dir=given.raw_dir.rstrip("/"),
@@ -112,6 +119,8 @@ def main(arguments: list[str] | None = None) -> int:
         compression=given.compression,
         rows_per_file=given.rows_per_file,
         heavy_limit=given.heavy_limit,
+        history_dir=given.history_dir and given.history_dir.rstrip("/"),
+        session_level=given.session_level,
     )
     logging.basicConfig(level=logging.INFO, format="%(asctime)s: %(message)s")
     spark = build_session()

@@ -36,7 +36,7 @@ def _nulls_first(*values):
     return tuple((value is not None, value) if value is not None else (False, 0) for value in values)
 
 
-def expected_features(events, start=None, end=None):
+def expected_features(events, start=None, end=None, session_level=False):
     users = defaultdict(set)
     for e in events:
         users[e[8]].add(e[7])
@@ -70,7 +70,8 @@ def expected_features(events, start=None, end=None):
 
     def place(variant):
         session, _, category, brand, price = variant
-        return _nulls_first(first(session), session, category, brand, price)
+        rest = () if session_level else (category, brand, price)
+        return _nulls_first(first(session), session, *rest)
 
     features = []
     for variant, group in by_variant.items():
@@ -100,6 +101,22 @@ def expected_features(events, start=None, end=None):
     return sorted(features, key=lambda row: tuple(repr(row[name]) for name in FEATURE_COLUMNS))
 
 
+def expected_after(events, cuts, start, end):
+    """Features of the range from `start` to `end` when ranges that begin at `cuts` were run
+    before: one computation, in which a session is one in each range that it touches."""
+    users = defaultdict(set)
+    for e in events:
+        users[e[8]].add(e[7])
+    divided = [
+        (*e[:8], f"{sum(e[0] >= cut for cut in cuts)}|{e[8]}") for e in events
+        if e[0] is not None and e[8] is not None and len(users[e[8]]) == 1
+    ]
+    number = f"{sum(start >= cut for cut in cuts)}|"
+    rows = expected_features(divided, cuts[0], end)
+    mine = [row | {"user_session": row["user_session"][len(number):]} for row in rows if row["user_session"].startswith(number)]
+    return sorted(mine, key=lambda row: tuple(repr(row[name]) for name in FEATURE_COLUMNS))
+
+
 def random_events(seed: int, count: int = 200):
     """Events with every awkward case: ties, nulls, shared sessions, price changes, repeats."""
     pick = random.Random(seed)

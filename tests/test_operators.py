@@ -86,7 +86,7 @@ def test_features_session_product_slices_heavy_pairs(spark):
 
 def test_counts(spark):
     events = frame(spark, SHARED)
-    assert dict(op.step_counts(events).collect())["extraction"] == 9
+    assert dict(op.step_counts(events).collect())["loaded"] == 9
     non_null, null = op.non_null_counts(events).first(), op.null_counts(events).first()
     assert (non_null["user_id"], null["user_id"], null["user_session"], null["price"]) == (7, 2, 2, 0)
     assert all(non_null[name] + null[name] == 9 for name in RAW_COLUMNS)
@@ -119,8 +119,14 @@ def test_dup_impact(spark):
 def test_top_pair(spark):
     events = frame(spark, random_events(9)).where("user_session is not null")
     cleaned = op.clean_sessions(events)
-    features = op.features_session_product(op.features_product(cleaned), op.features_session(cleaned))
+    steps = op.features_product(cleaned), op.features_session(cleaned)
+    features = op.features_session_product(*steps)
     top = op.top_pair(features).first()
-    assert op.top_pair_history(features).count() == top["count"]
+    columns = ["num_prev_sessions", "num_views_product", "num_prev_product_views", "start_time", "temp_start_dt"]
+    same = (F.col("user_id").eqNullSafe(top["user_id"])) & (F.col("product_id").eqNullSafe(top["product_id"]))
+    expected = sorted(map(repr, features.where(same).select(columns).collect()))
+    assert len(expected) == top["count"]
+    for limit in (0, 10**6):
+        assert sorted(map(repr, op.top_pair_history(*steps, limit).collect())) == expected
     counts = features.groupBy("user_id", "product_id").count().agg({"count": "max"}).first()[0]
     assert top["count"] == counts

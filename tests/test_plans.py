@@ -78,10 +78,44 @@ def test_session_steps_read_events_once(spark, landed, limit):
     assert scans_of(plans, path) == ["session-spans"]
 
 
-def test_product_step_writes_nothing_without_heavy_groups(spark, landed):
+@pytest.mark.parametrize("rule", ["merge", "size"])
+def test_product_step_joins_buckets(spark, landed, monkeypatch, rule):
+    """Both inputs are computed once, and neither the join nor what counts its rows shuffles them."""
+    if rule == "merge":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written, write = [], session.bucketed
+    monkeypatch.setattr(features, "bucketed", lambda df, label, keys: written.append((label, plan_of(df))) or write(df, label, keys))
+    path = landed.inputFiles()[0].rsplit("/", 1)[0]
+    try:
+        products, sessions = op.features_product(landed), op.features_session(landed)
+        plans = inputs_of(lambda: op.features_session_product(products, sessions))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [label for label, _ in plans] == ["heavy-keys", "heavy-keys", "result"]
+    assert [label for label, _ in written] == ["per-product", "per-session"]
+    assert scans_of(written, path) == ["per-product"] and scans_of(plans, path) == []
+    for plan in (plans[1][1], plans[2][1]):
+        assert "Join" in plan and "hashpartitioning(user_session" not in plan
+        below = plan[plan.index("Join"):]
+        assert rule == "size" or "Exchange" not in below
+    assert "Bucketed: true" in plans[2][1]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_product_step_shuffles_a_session_too_large_for_a_bucket(spark, landed):
     products, sessions = op.features_product(landed), op.features_session(landed)
-    plans = inputs_of(lambda: op.features_session_product(products, sessions))
-    assert [label for label, _ in plans] == ["heavy-keys", "result"]
+    plans = inputs_of(lambda: op.features_session_product(products, sessions, 2))
+    assert "Bucketed: true" not in plans[-1][1]
+    expected = op.features_session_product(products, sessions)
+    found = op.features_session_product(products, sessions, 2)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_session_list_takes_one_shuffle(spark, landed):
+    plans = dict(inputs_of(lambda: op.clean_sessions(landed)))
+    assert shuffles(plans["shared-sessions"]) == ["hashpartitioning"]
+    assert "SortAggregate" not in plans["shared-sessions"]
+    assert re.search(r"ReadSchema: struct<(.*?)>", plans["shared-sessions"]).group(1) == "user_id:string,user_session:string"
 
 
 def test_counts_of_steps_read_events_twice(spark, landed):
