@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.session import materialise
+from sessionloom.session import materialise, release
 
 from .rows import chosen, numbered, row_key, unused, words
 
@@ -190,4 +190,8 @@ def mixture(
     at = unused("_at", docs.columns)
     uses = _placed(rows.drop("_key"), schedules).select("_row", F.explode("positions").alias(at))
     uses = materialise(rows.join(uses, "_row").select("_key", at), "uses")
-    return chosen(docs, key, uses, rows).orderBy(at, id).select(docs.columns)
+    # Written before the sort, whose sampling would compute the join once more; and so the join's
+    # shuffle files are gone when the sort has its own.
+    placed = materialise(chosen(docs, key, uses, rows).select(*docs.columns, at), "placed-documents", "zstd")
+    release(docs.sparkSession, rows, uses)
+    return placed.orderBy(at, id).select(docs.columns)
