@@ -23,6 +23,7 @@ _REJECTS = "_rejects"
 # Names of files here are a month and the length and time of the file that it was landed from.
 _DELIVERED = "_delivered"
 SKETCHES = "_sketches"
+VALUES = "_values"
 
 
 class TooManyBrokenError(ValueError):
@@ -55,7 +56,7 @@ def land_pending(
     counts as landed once its marker is there, which is set after the whole write; a run that
     broke off lands the month again, replacing what it had written.  So does a file that was
     delivered again: one whose length or time is not that of the file the month was landed from.
-    What is known of the month besides, its sketches, goes then too.
+    What is known of the month besides, its sketches and values, goes then too.
 
     A record with too few or too many fields, such as one half of a text with a line break, is no
     event.  Such records go to the folder `_rejects` of the zone, by month, as JSON with their
@@ -70,7 +71,8 @@ def land_pending(
     given = file_stamps(spark, f"{raw_dir}/*.csv")
     anew = [name for name in _delivered_again(spark, zone_dir, given) if name in month_names(required)]
     for name in anew:
-        for part in (f"{_MARKERS}/{name}", f"{SKETCHES}/{MONTH}={name}", f"{MONTH}={name}", f"{_REJECTS}/{MONTH}={name}"):
+        folders = (f"{part}{MONTH}={name}" for part in (f"{SKETCHES}/", f"{VALUES}/", "", f"{_REJECTS}/"))
+        for part in (f"{_MARKERS}/{name}", *folders):
             remove(spark, f"{zone_dir}/{part}")
     names = sorted({*names, *anew})
     if not names:

@@ -45,6 +45,28 @@ def test_sketches_of_months(spark, raw, tmp_path):
     assert "_sketches" in plan and "event_time" not in plan
 
 
+def test_exact_counts_of_months(spark, raw, tmp_path):
+    """More values than a sketch counts exactly, in two months that share some."""
+    zone, one, both = str(tmp_path), ("2019-10-01 00:00:00",) * 2, ("2019-10-01 00:00:00", "2019-11-30 00:00:00")
+    land_pending(spark, raw, zone, *one)
+    assert op.sketch_pending(spark, zone, FIELDS) == op.values_pending(spark, zone, FIELDS) == ["2019-Oct"]
+    with pytest.raises(MissingMonthsError):
+        op.exact_distinct_in_months(spark, zone, *both)
+    land_pending(spark, raw, zone, *both)
+    op.sketch_pending(spark, zone, FIELDS)
+    assert op.values_pending(spark, zone, FIELDS) == ["2019-Nov"]
+    assert op.values_pending(spark, zone, FIELDS) == []
+    for bounds, users, sessions in ((one, 9000, 9000), (both, 15_000, 18_000)):
+        found = op.exact_distinct_in_months(spark, zone, *bounds).collect()
+        assert sorted(map(tuple, found)) == [("brand", 0), ("user_id", users), ("user_session", sessions)]
+    # Values of a month that its sketches do not know.
+    spark.createDataFrame([("brand", f"b{n}") for n in range(50)], "field string, value string").write.mode(
+        "append"
+    ).parquet(f"{zone}/_values/month=2019-Nov")
+    with pytest.raises(Exception, match="sketches and values differ: brand"):
+        op.exact_distinct_in_months(spark, zone, *both).collect()
+
+
 def drawn(seed, count=4000):
     pick = random.Random(seed)
     return [
