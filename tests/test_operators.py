@@ -110,6 +110,17 @@ def test_top_values_counts_null_and_breaks_ties(spark):
     assert wide.collect()[0].asDict() == {"v": "frequency", "null": 3, "x": 2}
 
 
+def test_top_values_in_given_columns(spark):
+    """Columns do not follow the data: a value that is not among the first has a null."""
+    df = spark.createDataFrame([(v,) for v in [None] * 3 + ["x"] * 2 + ["y"]], "v string")
+    wide = op.top_values_wide(df, "v", k=2, values=["y", "x", None])
+    assert wide.columns == ["v", "y", "x", "null"]
+    assert [tuple(row) for row in wide.collect()] == [("frequency", None, 2, 3)]
+    spelled = op.top_values_wide(df, "v", k=2, values=["null", None])
+    assert [row.asDict() for row in spelled.collect()] == [{"v": "frequency", "null": None, "null_": 3}]
+    assert [tuple(row) for row in op.top_values_wide(df.where("false"), "v", values=["x"]).collect()] == [("frequency", None)]
+
+
 def test_dup_impact(spark):
     row = op.dup_impact(frame(spark, SHARED)).first()
     assert row["rows_to_delete"] == 4 and abs(row["percent_to_delete"] - 400 / 9) < 1e-9
